@@ -10,6 +10,7 @@ def local_session(cores: int | str = "*", memory: str = "16g") -> SparkSession:
         .appName("devpulse")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
