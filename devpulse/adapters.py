@@ -8,6 +8,7 @@ number per task and respondent, and the list text is made after the shuffle.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from devpulse.operators.reshape import technology_rows_a, technology_rows_b
 from devpulse.operators.staging import stage_activity, stage_survey_a, stage_survey_b
@@ -24,8 +25,16 @@ RAW_LISTS = ["language", "database", "platform", "webframe"]
 NATURAL_KEY = ("response_id", "survey_year")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """A given table.  Its schema is read from the files once per process, since a model opens
+    the same tables several times."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def brand_number() -> Column:
@@ -35,13 +44,17 @@ def brand_number() -> Column:
 def brand_seed(spark: SparkSession) -> DataFrame:
     """Mapping of brands: the last four mapped ones are second names of the first four, and
     one brand is left unmapped.  24 rows whatever the size of the tables."""
-    k = F.col("id").cast("int")
-    canonical = F.when(k > CANONICAL_BRANDS, k - CANONICAL_BRANDS).otherwise(k)
-    return spark.range(1, MAPPED_BRANDS + 1).select(
-        F.concat(F.lit("Brand#"), k.cast("string")).alias("source_name"),
-        F.concat(F.lit("Tech#"), canonical.cast("string")).alias("canonical_name"),
-        F.array(*map(F.lit, CATEGORIES))[canonical % 4].alias("technology_category"),
-        F.array(*map(F.lit, SUBCATEGORIES))[canonical % 3].alias("technology_subcategory"),
+    categories = ", ".join(f"'{c}'" for c in CATEGORIES)
+    subcategories = ", ".join(f"'{c}'" for c in SUBCATEGORIES)
+    numbered = spark.range(1, MAPPED_BRANDS + 1).selectExpr(
+        "CAST(id AS INT) AS k",
+        f"CAST(IF(id > {CANONICAL_BRANDS}, id - {CANONICAL_BRANDS}, id) AS INT) AS c",
+    )
+    return numbered.selectExpr(
+        "concat('Brand#', k) AS source_name",
+        "concat('Tech#', c) AS canonical_name",
+        f"array({categories})[c % 4] AS technology_category",
+        f"array({subcategories})[c % 3] AS technology_subcategory",
     )
 
 
@@ -67,14 +80,14 @@ def brand_mentions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def named_brands(mask: str, of_category: int | None = None) -> list[Column]:
+def named_brands(mask: str, of_category: int | None = None) -> str:
     """The name of each brand that is in a mask, NULL for the others, in brand order."""
     brands = [b for b in BRANDS if of_category is None or b % 4 == of_category]
-    return [F.when(F.getbit(mask, F.lit(b)) == 1, f"Brand#{b}") for b in brands]
+    return ", ".join(f"CASE WHEN getbit({mask}, {b}) = 1 THEN 'Brand#{b}' END" for b in brands)
 
 
-def list_text(names: list[Column]) -> Column:
-    return F.nullif(F.concat_ws(";", *names), F.lit(""))
+def list_text(names: str) -> str:
+    return f"nullif(concat_ws(';', {names}), '')"
 
 
 def respondents_a(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,25 +120,25 @@ def raw_survey_a(spark: SparkSession, folder: str, profile: bool = False) -> Dat
         said.select(*who, "used", "desired"), allowMissingColumns=True
     )
     people = rows.groupBy("response_id", "survey_year").agg(
-        F.bit_or("used").alias("used"),
-        F.bit_or("desired").alias("desired"),
-        F.max("o_totalprice").alias("price"),
-        F.count("o_totalprice").alias("n_orders"),
-        F.min("o_orderpriority").alias("priority"),
+        F.expr("bit_or(used) AS used"),
+        F.expr("bit_or(desired) AS desired"),
+        F.expr("max(o_totalprice) AS price"),
+        F.expr("count(o_totalprice) AS n_orders"),
+        F.expr("min(o_orderpriority) AS priority"),
     )
     lists = [
-        list_text(named_brands(mask, k)).alias(f"{name}_{suffix}")
+        f"{list_text(named_brands(mask, k))} AS {name}_{suffix}"
         for mask, suffix in (("used", "have_worked_with"), ("desired", "want_to_work_with"))
         for k, name in enumerate(RAW_LISTS)
     ]
-    survey = people.select(
+    survey = people.selectExpr(
         "response_id",
         "survey_year",
-        F.col("priority").alias("ed_level"),
-        F.col("n_orders").cast("string").alias("years_code"),
-        (F.col("n_orders") % 4).cast("string").alias("years_code_pro"),
-        F.col("price").cast("decimal(18,2)").cast("string").alias("comp_total"),
-        F.when(F.col("priority") == "3-MEDIUM", "Monthly").otherwise("Yearly").alias("comp_freq"),
+        "priority AS ed_level",
+        "CAST(n_orders AS STRING) AS years_code",
+        "CAST(n_orders % 4 AS STRING) AS years_code_pro",
+        "CAST(CAST(price AS DECIMAL(18, 2)) AS STRING) AS comp_total",
+        "IF(priority = '3-MEDIUM', 'Monthly', 'Yearly') AS comp_freq",
         *lists,
     )
     if not profile:
@@ -150,12 +163,12 @@ def raw_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     """Survey B in its raw shape."""
     people = survey_b_masks(spark, folder)
     used = named_brands("used")
-    return people.select(
+    return people.selectExpr(
         "response_id",
         "survey_year",
-        F.coalesce(*used).alias("primary_language"),
-        list_text(used).alias("languages_used"),
-        list_text(named_brands("desired")).alias("languages_plan_to_adopt"),
+        f"coalesce({used}) AS primary_language",
+        f"{list_text(used)} AS languages_used",
+        f"{list_text(named_brands('desired'))} AS languages_plan_to_adopt",
     )
 
 
@@ -178,21 +191,21 @@ def survey_b_masks(spark: SparkSession, folder: str) -> DataFrame:
 def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     """Survey B as its files have it: one column per option."""
 
-    def options(mask: str, prefix: str, step: int = 1) -> list[Column]:
+    def options(mask: str, prefix: str, step: int = 1) -> list[str]:
         return [
-            F.when(F.getbit(mask, F.lit(b)) == 1, f" Brand#{b} ").alias(f"{prefix}Brand#{b}")
+            f"CASE WHEN getbit({mask}, {b}) = 1 THEN ' Brand#{b} ' END AS `{prefix}Brand#{b}`"
             for b in BRANDS[::step]
         ]
 
-    return survey_b_masks(spark, folder).select(
+    return survey_b_masks(spark, folder).selectExpr(
         "response_id",
         *options("used", "proglang::"),
         *options("used", "primary_lang::", 2),
         *options("desired", "adopt_proglang::"),
         *options("used", "os::", 5),
         *options("desired", "os_dev::", 5),
-        (F.col("survey_year") % 5).cast("string").alias("experience"),
-        F.col("survey_year").cast("string").alias("company_coders"),
+        "CAST(survey_year % 5 AS STRING) AS experience",
+        "CAST(survey_year AS STRING) AS company_coders",
     )
 
 
@@ -360,27 +373,39 @@ def staged_b(spark: SparkSession, folder: str) -> DataFrame:
     return stage_survey_b(raw_survey_b(spark, folder))
 
 
-def yearly_a(spark: SparkSession, folder: str) -> DataFrame:
+def yearly_a(
+    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+) -> DataFrame:
     """Survey A's yearly rates.  Respondents are counted by their natural key, which the
     surveys are already partitioned by, so nothing is shuffled between building the surveys
     and the final counts."""
     rows = technology_rows_a(staged_a(spark, folder), NATURAL_KEY)
-    return adoption_a(rows, respondents_a(spark, folder), spine(spark), NATURAL_KEY)
+    mapping = mapping or spine(spark)
+    return adoption_a(rows, respondents_a(spark, folder), mapping, NATURAL_KEY)
 
 
-def yearly_b(spark: SparkSession, folder: str) -> DataFrame:
+def yearly_b(
+    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+) -> DataFrame:
     rows = technology_rows_b(staged_b(spark, folder), NATURAL_KEY)
-    return adoption_b(rows, respondents_b(spark, folder), spine(spark), NATURAL_KEY)
+    mapping = mapping or spine(spark)
+    return adoption_b(rows, respondents_b(spark, folder), mapping, NATURAL_KEY)
 
 
-def yearly_activity(spark: SparkSession, folder: str) -> DataFrame:
-    return activity_yearly(stage_activity(raw_activity(spark, folder)), spine(spark))
+def yearly_activity(
+    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+) -> DataFrame:
+    monthly = stage_activity(raw_activity(spark, folder))
+    return activity_yearly(monthly, mapping or spine(spark))
 
 
-def adoption(spark: SparkSession, folder: str) -> DataFrame:
+def adoption(
+    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+) -> DataFrame:
+    mapping = mapping or spine(spark)
     return technology_adoption(
-        yearly_a(spark, folder),
-        yearly_b(spark, folder),
-        yearly_activity(spark, folder),
-        technologies(spine(spark)),
+        yearly_a(spark, folder, mapping),
+        yearly_b(spark, folder, mapping),
+        yearly_activity(spark, folder, mapping),
+        technologies(mapping),
     )

@@ -74,17 +74,16 @@ def explode_answer_lists(
     The surveys are read once: each row is widened to an array of its lists, and that array
     and then the list texts are exploded in place.  There is no shuffle, and rows keep the
     partitioning of their respondent."""
-    tagged = F.array(
-        *[
-            F.struct(
-                F.lit(a.category).alias("technology_category"),
-                *[F.lit(v).alias(f) for f, v in a.flags.items()],
-                F.col(a.column).alias("answers"),
-            )
-            for a in lists
-        ]
-    )
-    rows = surveys.select(*carry, F.inline(tagged)).where(F.col("answers").isNotNull())
+    tagged = [
+        ", ".join(
+            [f"'{a.category}' AS technology_category"]
+            + [f"{value} AS {flag}" for flag, value in a.flags.items()]
+            + [f"{a.column} AS answers"]
+        )
+        for a in lists
+    ]
+    widened = F.expr(f"inline(array({', '.join(f'struct({t})' for t in tagged)}))")
+    rows = surveys.select(*carry, widened).where(F.col("answers").isNotNull())
     return explode_multiselect(rows, "answers").drop("answers")
 
 

@@ -1,6 +1,6 @@
 """Raw tables to typed, renamed rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.constants import UNKNOWN_LANGUAGE
@@ -40,7 +40,7 @@ SURVEY_A_RENAMES = {
     "job_sat": "job_satisfaction",
     "_loaded_at": "_loaded_at",
 }
-NUMERIC_ANSWERS = ["years_code", "years_code_pro", "comp_total"]
+NUMERIC_ANSWERS = ["years_coding_total", "years_coding_professional", "compensation_total"]
 SURVEY_B_COLUMNS = """
 response_id survey_year country age gender employment_status company_size job_role
 years_of_experience industry team_size primary_language languages_used
@@ -51,24 +51,22 @@ languages_plan_to_adopt frameworks_used ides_used operating_systems _loaded_at
 def stage_survey_a(raw: DataFrame) -> DataFrame:
     """Respondent-years of survey A: keyed, renamed, three answers turned into numbers."""
 
-    def staged(column: str) -> Column:
-        return to_whole_number(F.col(column)) if column in NUMERIC_ANSWERS else F.col(column)
-
-    return (
+    renamed = (
         conform(raw, SURVEY_A)
-        .where(F.col("response_id").isNotNull())
-        .select(
-            surrogate_key("response_id", "survey_year").alias("survey_response_id"),
-            *[staged(c).alias(name) for c, name in SURVEY_A_RENAMES.items()],
-        )
+        .where("response_id IS NOT NULL")
+        .selectExpr(*[f"{c} AS {name}" for c, name in SURVEY_A_RENAMES.items()])
     )
+    numeric = {name: to_whole_number(F.col(name)) for name in NUMERIC_ANSWERS}
+    return renamed.select(
+        surrogate_key("response_id", "survey_year").alias("survey_response_id"), "*"
+    ).withColumns(numeric)
 
 
 def stage_survey_b(raw: DataFrame) -> DataFrame:
     """Respondent-years of survey B."""
     return (
         conform(raw, SURVEY_B)
-        .where(F.col("response_id").isNotNull())
+        .where("response_id IS NOT NULL")
         .select(
             surrogate_key("response_id", "survey_year").alias("survey_response_id"),
             *SURVEY_B_COLUMNS,

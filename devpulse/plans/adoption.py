@@ -95,8 +95,8 @@ def adoption_b(
 def align_typed_nulls(df: DataFrame, columns: Mapping[str, str] = ADOPTION_SCHEMA) -> DataFrame:
     """Project to `columns`, missing ones as NULLs of the right type."""
     have = set(df.columns)
-    return df.select(
-        *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in columns.items()]
+    return df.selectExpr(
+        *[f"CAST({c if c in have else 'NULL'} AS {t}) AS {c}" for c, t in columns.items()]
     )
 
 

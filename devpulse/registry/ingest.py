@@ -1 +1,261 @@
-"""to be written"""
+"""Reading-side operators: header maps, wide options, event scans, load counts."""
+
+from pyspark.sql import functions as F
+
+from devpulse import adapters as A
+from devpulse.constants import SURVEY_A_HEADERS
+from devpulse.operators.reshape import explode_multiselect
+from devpulse.registry.base import query
+from devpulse.sources.activity import expand_year_to_months
+from devpulse.sources.catalog import (
+    activity_counts,
+    load_counts,
+    sample_table,
+    source_counts,
+    top_values,
+)
+from devpulse.sources.files import events_between, map_columns
+from devpulse.sources.wide import (
+    collect_wide_multiselect,
+    first_present_field,
+    first_selected,
+    load_wide_survey,
+)
+
+
+def as_file(spark, d):
+    """Survey A as its file has it: original headers, padded and quoted cells."""
+    raw = A.raw_survey_a(spark, d)
+    headers = {target: header for header, target in reversed(SURVEY_A_HEADERS.items())}
+    return raw.select(
+        *[
+            F.concat(F.lit(' "'), F.col(c), F.lit('"\t')).alias(headers[c])
+            for c in raw.columns
+            if c in headers
+        ],
+        F.lit("9").alias("WorkExp"),
+        F.col("survey_year").alias("Unmapped"),
+    )
+
+
+@query(
+    "map_columns",
+    """select cast(1999 as integer) as survey_year, response_id, priority as ed_level,
+              cast(n_orders as varchar) as years_code,
+              cast(n_orders % 4 as varchar) as years_code_pro,
+              cast(cast(price as decimal(18, 2)) as varchar) as comp_total
+       from people_a""",
+)
+def _(spark, d):
+    mapped = map_columns(as_file(spark, d), SURVEY_A_HEADERS, 1999)
+    return mapped.select(
+        "survey_year", "response_id", "ed_level", "years_code", "years_code_pro", "comp_total"
+    )
+
+
+OPTIONS_SQL = """
+    with o as (
+        select response_id, string_agg(p_brand, ';' order by bn) filter (where used) as used,
+               string_agg(p_brand, ';' order by bn) filter (where desired) as wanted,
+               min(bn) filter (where used and bn % 2 = 1) as first_odd,
+               string_agg(p_brand, ';' order by bn) filter (where used and bn % 5 = 1) as os,
+               string_agg(p_brand, ';' order by bn) filter (where desired and bn % 5 = 1)
+                   as os_dev
+        from (select l_orderkey, p_brand, bn, bool_or(used) as used, bool_or(desired) as desired
+              from mention group by all)
+        join people_b on l_orderkey = o_orderkey group by 1)
+"""
+
+
+@query(
+    "load_wide_survey",
+    OPTIONS_SQL
+    + """select response_id, cast(2024 as integer) as survey_year,
+                'Brand#' || first_odd as primary_language, used as languages_used,
+                wanted as languages_plan_to_adopt, coalesce(os, os_dev) as operating_systems,
+                cast(p.survey_year % 5 as varchar) as years_of_experience,
+                cast(p.survey_year as varchar) as team_size
+         from people_b p left join o using (response_id)""",
+)
+def _(spark, d):
+    return load_wide_survey(A.wide_survey_b(spark, d), 2024).select(
+        "response_id",
+        "survey_year",
+        "primary_language",
+        "languages_used",
+        "languages_plan_to_adopt",
+        "operating_systems",
+        "years_of_experience",
+        "team_size",
+    )
+
+
+@query(
+    "collect_wide_multiselect",
+    OPTIONS_SQL
+    + """select response_id, used as languages, coalesce(os, os_dev) as systems
+         from people_b left join o using (response_id)""",
+)
+def _(spark, d):
+    wide = A.wide_survey_b(spark, d)
+    return wide.select(
+        "response_id",
+        collect_wide_multiselect(wide, "proglang::").alias("languages"),
+        collect_wide_multiselect(wide, "os::", "os_dev::").alias("systems"),
+    )
+
+
+@query(
+    "first_selected",
+    OPTIONS_SQL
+    + """select response_id, 'Brand#' || first_odd as primary_language
+         from people_b left join o using (response_id)""",
+)
+def _(spark, d):
+    wide = A.wide_survey_b(spark, d)
+    return wide.select(
+        "response_id", first_selected(wide, "primary_lang::").alias("primary_language")
+    )
+
+
+@query(
+    "first_present_field",
+    """select response_id, cast(survey_year % 5 as varchar) as experience,
+              cast(survey_year as varchar) as team, null::varchar as absent from people_b""",
+)
+def _(spark, d):
+    wide = A.wide_survey_b(spark, d)
+    return wide.select(
+        "response_id",
+        first_present_field(wide, ["dev_experience", "experience"]).alias("experience"),
+        first_present_field(wide, ["team_size", "company_coders"]).alias("team"),
+        first_present_field(wide, ["no_such_header"]).alias("absent"),
+    )
+
+
+@query(
+    "scan_events",
+    """select event_id, event_type, ts from events
+       where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-21'
+         and event_type in ('click', 'view')""",
+)
+def _(spark, d):
+    events = A.load(spark, d, "events")
+    days = ("2024-01-05", "2024-01-20")
+    rows = events_between(events, *days, ["click", "view"], "ts", "event_type")
+    return rows.select("event_id", "event_type", "ts")
+
+
+@query(
+    "load_counts",
+    """select cast(year(o_orderdate) as integer) as survey_year, count(*) as row_count
+       from orders group by 1""",
+)
+def _(spark, d):
+    return load_counts(A.respondents_b(spark, d), "survey_year")
+
+
+@query(
+    "source_counts",
+    """select 'orders' as source, count(*) as row_count from orders
+       union all select 'lineitem', count(*) from lineitem
+       union all select 'events', count(*) from events""",
+)
+def _(spark, d):
+    return source_counts({t: A.load(spark, d, t) for t in ("orders", "lineitem", "events")})
+
+
+@query(
+    "activity_counts_by_language",
+    """select repo_language, count(*) as row_count, cast(sum(event_count) as bigint) as events
+       from monthly group by 1""",
+)
+def _(spark, d):
+    return activity_counts(A.raw_activity(spark, d), "repo_language")
+
+
+@query(
+    "activity_counts_by_year",
+    """select cast(year(activity_month) as integer) as activity_year, count(*) as row_count,
+              cast(sum(event_count) as bigint) as events from monthly group by 1""",
+)
+def _(spark, d):
+    return activity_counts(A.raw_activity(spark, d), "activity_year")
+
+
+@query(
+    "top_values",
+    """select 'Brand#' || first_bn as primary_language, count(*) as row_count
+       from (select l_orderkey, min(bn) as first_bn from mention where used group by 1)
+       join people_b on l_orderkey = o_orderkey
+       group by 1 order by 2 desc, 1 limit 10""",
+)
+def _(spark, d):
+    return top_values(A.raw_survey_b(spark, d), "primary_language", 10)
+
+
+@query(
+    "sample_table",
+    "select * from orders order by o_orderkey limit 50",
+)
+def _(spark, d):
+    return sample_table(A.load(spark, d, "orders"), 50, "first_column")
+
+
+@query(
+    "expand_year_to_months",
+    """with y as (
+           select o_orderpriority as language, cast(year(o_orderdate) + 24 as integer) as year,
+                  count(*) as pushed, count(*) filter (where o_orderstatus = 'F') as created,
+                  count(*) filter (where o_orderstatus = 'O') as prs,
+                  count(*) filter (where o_totalprice > 490000) as issues
+           from orders group by all),
+       m as (
+           select *, case when year < 2025 then 12 else 11 end as months,
+                  pushed / 7.0::double as avg_stars, prs / 8.0::double as avg_forks from y),
+       e as (
+           select *, unnest([
+               {'event_type': 'PushEvent', 'total': pushed * 8},
+               {'event_type': 'CreateEvent', 'total': created},
+               {'event_type': 'PullRequestEvent', 'total': prs},
+               {'event_type': 'IssuesEvent', 'total': issues},
+               {'event_type': 'ForkEvent',
+                'total': cast(floor(avg_forks * created * 0.05::double) as bigint)},
+               {'event_type': 'WatchEvent',
+                'total': cast(floor(pushed * 8 * 0.10::double / 0.45::double) as bigint)}],
+               recursive := true) from m),
+       c as (
+           select *, greatest(1, total // months) as n, unnest(range(1, months + 1)) as month
+           from e),
+       a as (
+           select *, greatest(1, n // case event_type when 'PushEvent' then 10
+                   when 'PullRequestEvent' then 5 when 'CreateEvent' then 2 else 8 end) as actors
+           from c)
+       select make_date(year, cast(month as integer), 1) as activity_month,
+              language as repo_language, event_type, n as event_count,
+              actors as unique_actors,
+              case event_type when 'PushEvent' then greatest(1, pushed // months)
+                   when 'PullRequestEvent' then greatest(1, actors // 2)
+                   when 'CreateEvent' then n else greatest(1, n // 12) end as unique_repos,
+              case event_type when 'PushEvent' then n * 3 else 0 end as total_commits,
+              cast(0 as bigint) as total_additions, cast(0 as bigint) as total_deletions,
+              round(avg_stars, 1) as avg_repo_stars
+       from a""",
+)
+def _(spark, d):
+    return expand_year_to_months(A.yearly_totals(spark, d))
+
+
+@query(
+    "wide_options_exploded",
+    """select p_brand as language, count(*) as respondents from (
+           select distinct l_orderkey, p_brand from mention where used) group by 1""",
+)
+def _(spark, d):
+    """Options folded into a list and exploded again."""
+    wide = A.wide_survey_b(spark, d)
+    lists = wide.select(collect_wide_multiselect(wide, "proglang::").alias("languages"))
+    rows = explode_multiselect(lists, "languages", name="language")
+    return rows.groupBy("language").agg(F.count(F.lit(1)).alias("respondents"))
+
+

@@ -118,12 +118,11 @@ def exact_quantiles(
     cuts = counted.groupBy("column_name").agg(
         F.percentile_approx("v", steps, slices * 20).alias("cuts")
     )
-    # one entry per requested column, so the lookup map is as small as the request
-    lookup = cuts.agg(
-        F.map_from_entries(F.collect_list(F.struct("column_name", "cuts")))
-    ).scalar()
-    below = F.filter(lookup[F.col("column_name")], lambda c: c < F.col("v"))
-    sliced = counted.withColumn("slice", F.size(below))
+    # one row per requested column, so its size is known
+    below = F.filter(F.col("cuts"), lambda c: c < F.col("v"))
+    sliced = counted.join(F.broadcast(cuts), "column_name").select(
+        "column_name", "v", "n", F.size(below).alias("slice")
+    )
     column = Window.partitionBy("column_name")
     starts = (
         sliced.groupBy("column_name", "slice")
@@ -136,7 +135,8 @@ def exact_quantiles(
         )
     )
     inside = Window.partitionBy("column_name", "slice").orderBy("v")
-    ranked = sliced.join(starts, ["column_name", "slice"], "inner").select(
+    # at most `slices` rows per requested column
+    ranked = sliced.join(F.broadcast(starts), ["column_name", "slice"], "inner").select(
         "column_name",
         "v",
         "total",

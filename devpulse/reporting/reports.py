@@ -10,7 +10,7 @@ from devpulse.constants import SURVEY_SOURCES
 from devpulse.functions import clamp, ordered_text, round_half_away
 from devpulse.operators.aggregates import filter_sources, mean_over_sources, top_n_by_mean
 from devpulse.operators.joins import keep_top, latest_rows
-from devpulse.operators.ordering import first_last, order_by_abs, row_at_max, top_k
+from devpulse.operators.ordering import first_last, order_by_abs, top_k
 from devpulse.operators.roles import label_roles, skill_shares, top_per
 
 RATE = "survey_adoption_pct"
@@ -51,17 +51,22 @@ def adoption_headline(trend: DataFrame) -> DataFrame:
     """Top technology of the latest year, its rate, change on the year before, and how many
     technologies are shown."""
     rates = trend.groupBy("year", "technology_name").agg(F.avg(RATE).alias("pct"))
-    top = row_at_max(latest_rows(rates, "year"), "pct", ["year", "technology_name", "pct"], "technology_name")
-    before = rates.select(
-        (F.col("year") + 1).alias("year"), "technology_name", F.col("pct").alias("_before")
+    history = Window.partitionBy("technology_name").orderBy("year")
+    follows = F.lag("year").over(history) == F.col("year") - 1
+    rates = rates.withColumn("before", F.when(follows, F.lag("pct").over(history)))
+    # smallest of (-year, -pct, name): latest year, then highest rate, then first name
+    place = F.struct(
+        (-F.col("year")).alias("y"), (-F.col("pct")).alias("p"), "technology_name", "before"
     )
-    shown = trend.select(F.count_distinct("technology_name")).scalar()
-    return top.join(before, ["year", "technology_name"], "left").select(
-        F.col("year").alias("latest_year"),
-        F.col("technology_name").alias("top_technology"),
-        F.col("pct").alias("top_pct"),
-        round_half_away(F.col("pct") - F.col("_before"), 1).alias("yoy_delta"),
-        shown.alias("technologies_shown"),
+    best = rates.agg(
+        F.min(place).alias("b"), F.count_distinct("technology_name").alias("technologies_shown")
+    )
+    return best.select(
+        (-F.col("b.y")).alias("latest_year"),
+        F.col("b.technology_name").alias("top_technology"),
+        (-F.col("b.p")).alias("top_pct"),
+        round_half_away(-F.col("b.p") - F.col("b.before"), 1).alias("yoy_delta"),
+        "technologies_shown",
     )
 
 

@@ -1,7 +1,6 @@
 """Raw table schemas (columns in table order)."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -95,9 +94,10 @@ CHECK_LOG = T.StructType(
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project `df` to `schema`: same order and types, missing columns as typed NULLs."""
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()})"
+            f" AS {f.name}"
             for f in schema.fields
         ]
     )

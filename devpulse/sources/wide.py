@@ -37,7 +37,8 @@ def selected_options(
     ]
     if not headers:
         return F.array().cast("array<string>")
-    cells = F.array(*[F.btrim(F.col(f"`{h}`"), F.lit(WHITESPACE)) for h in headers])
+    raw = F.expr("array(" + ", ".join(f"`{h}`" for h in headers) + ")")
+    cells = F.transform(raw, lambda cell: F.btrim(cell, F.lit(WHITESPACE)))
 
     def keep(cell: Column) -> Column:
         wanted = cell.isNotNull() & (cell != "")
