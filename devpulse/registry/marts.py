@@ -22,13 +22,18 @@ from devpulse.plans.salary import (
 from devpulse.plans.sentiment import technology_sentiment
 from devpulse.plans.spine import technologies, technology_spine
 from devpulse.registry.base import query
-from devpulse.sources.sinks import materialize
+from devpulse.sources.sinks import cut_lineage, materialize
 
 
 def dims(spark):
     return technologies(A.spine(spark))
 
 
+def stored(df):
+    """A fact as the reports read it: a table, computed once however often it is used."""
+    return cut_lineage(df)
+
+
 def svd(spark, d):
     return said_vs_did(A.adoption(spark, d), dims(spark))
 

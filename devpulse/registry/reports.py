@@ -42,7 +42,7 @@ def rounded(df, columns, digits=6):
 
 
 def trend(spark, d):
-    return R.adoption_trend(A.adoption(spark, d))
+    return R.adoption_trend(M.stored(A.adoption(spark, d)))
 
 
 @query("adoption_trend", "select * from trend")
@@ -62,7 +62,7 @@ def _(spark, d):
 )
 def _(spark, d):
     return R.adoption_trend(
-        A.adoption(spark, d), "database", "stackoverflow", n=3, years=(1997, 2000)
+        M.stored(A.adoption(spark, d)), "database", "stackoverflow", n=3, years=(1997, 2000)
     )
 
 
@@ -105,7 +105,7 @@ SVD_TOP = """
 
 @query("said_vs_did_report", SVD_TOP.format("(select max(year) from svd)"))
 def _(spark, d):
-    return R.said_vs_did_report(M.svd(spark, d))
+    return R.said_vs_did_report(M.stored(M.svd(spark, d)))
 
 
 @query(
@@ -120,7 +120,7 @@ def _(spark, d):
               max(said_vs_did_gap) as widest_gap from ({SVD_TOP.format(1998)})""",
 )
 def _(spark, d):
-    return R.said_vs_did_summary(R.said_vs_did_report(M.svd(spark, d), 1998))
+    return R.said_vs_did_summary(R.said_vs_did_report(M.stored(M.svd(spark, d)), 1998))
 
 
 @query(
@@ -240,7 +240,7 @@ def _(spark, d):
        order by abs(said_vs_did_gap) desc nulls first, year, technology_name limit 30""",
 )
 def _(spark, d):
-    return R.top_gaps(M.svd(spark, d), 1998)
+    return R.top_gaps(M.stored(M.svd(spark, d)), 1998)
 
 
 @query(
@@ -251,7 +251,7 @@ def _(spark, d):
        order by desire_gap desc, technology_name limit 25""",
 )
 def _(spark, d):
-    return R.latest_sentiment(M.sentiment(spark, d))
+    return R.latest_sentiment(M.stored(M.sentiment(spark, d)))
 
 
 @query(
@@ -265,7 +265,7 @@ def _(spark, d):
        order by avg(salary_premium_pct) desc, 1 limit 20""",
 )
 def _(spark, d):
-    report = R.salary_premiums(M.salary(spark, d), "NATION_3", min_respondents=2)
+    report = R.salary_premiums(M.stored(M.salary(spark, d)), "NATION_3", min_respondents=2)
     return rounded(report, ["avg_median_salary", "avg_premium_pct"], 4)
 
 
@@ -276,4 +276,4 @@ def _(spark, d):
          and lifecycle_stage in ('emerging', 'declining')""",
 )
 def _(spark, d):
-    return R.emerging_declining(M.sentiment(spark, d))
+    return R.emerging_declining(M.stored(M.sentiment(spark, d)))

@@ -1,6 +1,6 @@
 """Table profiles."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from devpulse.functions import round_half_away, to_double
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+SLICE_GROUPS, SLICES_PER_GROUP = 32, 16
 
 
 def null_report(df: DataFrame, ordered: bool = True) -> DataFrame:
@@ -99,11 +100,19 @@ def _long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(entries)).where(F.col("v").isNotNull())
 
 
+def _edges_below(low: int, high: int, edge: Callable[[int], str]) -> str:
+    """SQL that counts how many of the ascending edges low..high-1 are below v, by bisection."""
+    if low == high:
+        return str(low)
+    middle = (low + high) // 2
+    above = _edges_below(middle + 1, high, edge)
+    return f"IF({edge(middle)} < v, {above}, {_edges_below(low, middle, edge)})"
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Mapping[str, float] = QUARTILES,
-    slices: int = 128,
 ) -> DataFrame:
     """Exact, interpolated quantiles of whole columns, in parallel.
 
@@ -114,14 +123,19 @@ def exact_quantiles(
     counted = (
         _long_form(df, columns).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    steps = [i / slices for i in range(1, slices)]
+    slices = SLICE_GROUPS * SLICES_PER_GROUP
+    steps = ", ".join(f"{i / slices}D" for i in range(1, slices))
     cuts = counted.groupBy("column_name").agg(
-        F.percentile_approx("v", steps, slices * 20).alias("cuts")
+        F.expr(f"percentile_approx(v, array({steps}), {slices * 20}) AS cuts")
     )
     # one row per requested column, so its size is known
-    below = F.filter(F.col("cuts"), lambda c: c < F.col("v"))
-    sliced = counted.join(F.broadcast(cuts), "column_name").select(
-        "column_name", "v", "n", F.size(below).alias("slice")
+    per = SLICES_PER_GROUP
+    group = _edges_below(0, SLICE_GROUPS - 1, lambda i: f"cuts[{i * per + per - 1}]")
+    inner = _edges_below(0, per - 1, lambda i: f"cuts[g * {per} + {i}]")
+    sliced = (
+        counted.join(F.broadcast(cuts), "column_name")
+        .select("*", F.expr(f"{group} AS g"))
+        .select("column_name", "v", "n", F.expr(f"g * {per} + {inner} AS slice"))
     )
     column = Window.partitionBy("column_name")
     starts = (
@@ -135,7 +149,7 @@ def exact_quantiles(
         )
     )
     inside = Window.partitionBy("column_name", "slice").orderBy("v")
-    # at most `slices` rows per requested column
+    # at most one row per slice of each requested column
     ranked = sliced.join(F.broadcast(starts), ["column_name", "slice"], "inner").select(
         "column_name",
         "v",
