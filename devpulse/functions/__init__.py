@@ -10,6 +10,7 @@ from devpulse.functions.scalars import (
     pct_of_total,
     ratio,
     round_half_away,
+    split_text,
     strip_quotes,
     to_double,
     to_whole_number,
@@ -26,6 +27,7 @@ __all__ = [
     "pct_of_total",
     "ratio",
     "round_half_away",
+    "split_text",
     "strip_quotes",
     "surrogate_key",
     "to_double",

@@ -1,6 +1,5 @@
 """Column helpers.  All of them are built-in Spark expressions, so they stay in the JVM."""
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -63,8 +62,17 @@ def first_non_blank(values: Column) -> Column:
 
 def contains_any(text: Column, needles: Sequence[str]) -> Column:
     """True when `text` holds one of `needles`, ignoring case; NULL text gives False."""
-    pattern = "(?i)" + "|".join(re.escape(n) for n in needles)
-    return F.coalesce(text.rlike(pattern), F.lit(False))
+    lowered, found = F.lower(text), F.lit(False)
+    for needle in needles:
+        found = found | F.contains(lowered, F.lit(needle.lower()))
+    return F.coalesce(found, F.lit(False))
+
+
+def split_text(text: Column, separator: str) -> Column:
+    """Split at a literal separator.  Only characters that mean something in a pattern are
+    escaped: a one-character separator then needs no pattern to be compiled per row."""
+    literal = "".join("\\" + c if c in r".$|()[{^?*+\\" else c for c in separator)
+    return F.split(text, literal)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.constants import LIST_SEPARATOR
-from devpulse.functions import round_half_away
+from devpulse.functions import round_half_away, split_text
 
 RESPONDENT = ("survey_response_id", "survey_year")
 
@@ -61,7 +61,7 @@ def explode_multiselect(
 ) -> DataFrame:
     """One row per answer in a delimited list, trimmed; NULL lists give no row and blank parts
     are dropped unless `keep_blank`."""
-    rows = df.select("*", F.explode(F.split(F.col(column), f"\\Q{separator}\\E")).alias(name))
+    rows = df.select("*", F.explode(split_text(F.col(column), separator)).alias(name))
     rows = rows.withColumn(name, F.trim(name))
     return rows if keep_blank else rows.where(F.col(name) != "")
 

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from devpulse.functions import surrogate_key
 from devpulse.operators.reshape import unpivot_survey_a, unpivot_survey_b
 from devpulse.operators.staging import stage_activity, stage_survey_a, stage_survey_b
 from devpulse.plans.activity import activity_yearly
@@ -16,6 +17,7 @@ from devpulse.plans.sentiment import technology_sentiment
 from devpulse.plans.spine import technology_spine
 from devpulse.sources.sinks import cut_lineage, materialize
 
+NATURAL_KEY = ("response_id", "survey_year")
 VIEWS = {"staged_survey_a", "staged_survey_b", "staged_activity", "technologies_a", "technologies_b"}
 
 
@@ -44,6 +46,13 @@ class Marts:
             materialize(df, name, "table" if as_tables and name not in VIEWS else "view")
 
 
+def _keyed(technologies: DataFrame) -> DataFrame:
+    """Answers are grouped by the short natural key and get the hashed key afterwards, so the
+    hash is neither shuffled nor computed once per answer."""
+    key = surrogate_key(*NATURAL_KEY).alias("survey_response_id")
+    return technologies.select(key, *technologies.columns)
+
+
 def build_marts(
     raw_a: DataFrame, raw_b: DataFrame, raw_activity: DataFrame, seed: DataFrame
 ) -> Marts:
@@ -52,11 +61,11 @@ def build_marts(
     survey_a = stage_survey_a(raw_a)
     survey_b = stage_survey_b(raw_b)
     activity = stage_activity(raw_activity)
-    tech_a = cut_lineage(unpivot_survey_a(survey_a))
-    tech_b = unpivot_survey_b(survey_b)
+    tech_a = cut_lineage(_keyed(unpivot_survey_a(survey_a, NATURAL_KEY)))
+    tech_b = _keyed(unpivot_survey_b(survey_b, NATURAL_KEY))
     spine = technology_spine(seed)
-    yearly_a = cut_lineage(adoption_a(tech_a, survey_a, spine))
-    yearly_b = cut_lineage(adoption_b(tech_b, survey_b, spine))
+    yearly_a = cut_lineage(adoption_a(tech_a, survey_a, spine, NATURAL_KEY))
+    yearly_b = cut_lineage(adoption_b(tech_b, survey_b, spine, NATURAL_KEY))
     yearly = cut_lineage(activity_yearly(activity, spine))
     dim = cut_lineage(dim_technologies(spine, yearly_a, yearly_b, yearly))
     adoption = cut_lineage(technology_adoption(yearly_a, yearly_b, yearly, dim))

@@ -2,14 +2,14 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.constants import PAY_FREQUENCY, PAY_HIGH, PAY_LOW
-from devpulse.functions import round_half_away
+from devpulse.constants import LIST_SEPARATOR, PAY_FREQUENCY, PAY_HIGH, PAY_LOW
+from devpulse.functions import round_half_away, split_text
 from devpulse.operators.aggregates import salary_stats
 from devpulse.operators.joins import join_dim, join_respondent, join_spine
-from devpulse.operators.reshape import SURVEY_A_LISTS, explode_answer_lists
+from devpulse.operators.reshape import SURVEY_A_LISTS
 from devpulse.operators.windows import year_median
 from devpulse.sources.sinks import cut_lineage
 
@@ -67,19 +67,19 @@ def paid_technologies_in_place(surveys: DataFrame) -> DataFrame:
 
     The row's own lists are exploded, each answer once per list, so neither the consolidation
     of answers nor the join back to the respondent is needed and nothing is shuffled."""
-    used = [a for a in SURVEY_A_LISTS if a.flags["is_currently_used"]]
-    paid = filter_valid_salary(surveys).select(
-        "survey_response_id",
-        *RESPONDENT_TRAITS,
-        *[unique_answers(a.column).alias(a.column) for a in used],
+    used = [a.column for a in SURVEY_A_LISTS if a.flags["is_currently_used"]]
+    carried = ["survey_response_id", *RESPONDENT_TRAITS]
+    answers = F.flatten(F.array(*[distinct_answers(F.col(c)) for c in used]))
+    rows = filter_valid_salary(surveys).select(
+        *carried, F.explode(answers).alias("technology_name")
     )
-    return explode_answer_lists(paid, used, ["survey_response_id", *RESPONDENT_TRAITS])
+    return rows.where(F.col("technology_name") != "")
 
 
-def unique_answers(column: str):
-    """A ';' list with every answer once."""
-    answers = F.transform(F.split(F.col(column), ";"), lambda a: F.trim(a))
-    return F.array_join(F.array_distinct(answers), ";")
+def distinct_answers(text: Column) -> Column:
+    """The answers of a list, trimmed, each once; an empty array for NULL."""
+    trimmed = F.transform(split_text(text, LIST_SEPARATOR), lambda answer: F.trim(answer))
+    return F.coalesce(F.array_distinct(trimmed), F.array().cast("array<string>"))
 
 
 def salary_by_stack(

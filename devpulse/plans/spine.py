@@ -7,14 +7,22 @@ from devpulse.constants import NAME_MAPPING
 from devpulse.functions import surrogate_key
 from devpulse.operators.windows import dedup_mapping
 
-SEED_SCHEMA = (
-    "source_name string, canonical_name string, "
-    "technology_category string, technology_subcategory string"
-)
+SEED_COLUMNS = [
+    "source_name",
+    "canonical_name",
+    "technology_category",
+    "technology_subcategory",
+]
 
 
 def mapping_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NAME_MAPPING, SEED_SCHEMA)
+    """The fixed mapping as inline values: a local relation, whose size Spark knows before it
+    plans the joins, so it is broadcast without a hint and without a shuffle of the big side."""
+    rows = ", ".join(
+        "(" + ", ".join("'" + text.replace("'", "\\'") + "'" for text in row) + ")"
+        for row in NAME_MAPPING
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS seed({', '.join(SEED_COLUMNS)})")
 
 
 def technology_spine(seed: DataFrame) -> DataFrame:

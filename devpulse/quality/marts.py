@@ -1,6 +1,8 @@
 """Checks of the fact tables, and the declared checks of every table."""
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -176,36 +178,51 @@ def check_sentiment_mart(df: DataFrame, tolerance: float = 0.5) -> DataFrame:
 Check = Callable[[DataFrame], DataFrame]
 
 
-def _missing(*columns: str) -> dict[str, Check]:
-    return {f"not_null_{c}": lambda df, c=c: check_not_null(df, c) for c in columns}
+@dataclass(frozen=True)
+class Declared:
+    """A declared check.  One whose failing rows are rows of the table itself also has their
+    condition, so that all such checks of a table can be counted in a single pass."""
 
+    failing: Check
+    condition: str | None = None
 
-def _unique(*columns: str) -> dict[str, Check]:
-    return {f"unique_{c}": lambda df, c=c: check_unique(df, c) for c in columns}
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return self.failing(df)
 
 
-def _keyed(*columns: str) -> dict[str, Check]:
+def _missing(*columns: str) -> dict[str, Declared]:
     return {
-        f"unique_combination_{'_'.join(columns)}": lambda df: check_unique_combination(df, columns)
+        f"not_null_{c}": Declared(lambda df, c=c: check_not_null(df, c), f"{c} IS NULL")
+        for c in columns
     }
 
 
-def _domain(column: str, values: Sequence) -> dict[str, Check]:
-    return {
-        f"accepted_values_{column}": lambda df: check_accepted_values(df, column, values)
-    }
+def _unique(*columns: str) -> dict[str, Declared]:
+    return {f"unique_{c}": Declared(lambda df, c=c: check_unique(df, c)) for c in columns}
+
+
+def _keyed(*columns: str) -> dict[str, Declared]:
+    name = f"unique_combination_{'_'.join(columns)}"
+    return {name: Declared(lambda df: check_unique_combination(df, columns))}
+
 
+def _domain(column: str, values: Sequence) -> dict[str, Declared]:
+    name = f"accepted_values_{column}"
+    return {name: Declared(lambda df: check_accepted_values(df, column, values))}
 
-def _range(low: float, high: float, *columns: str) -> dict[str, Check]:
+
+def _range(low: float, high: float, *columns: str) -> dict[str, Declared]:
     return {
-        f"accepted_range_{c}": lambda df, c=c: check_accepted_range(df, c, low, high)
+        f"accepted_range_{c}": Declared(
+            lambda df, c=c: check_accepted_range(df, c, low, high), f"{c} < {low} OR {c} > {high}"
+        )
         for c in columns
     }
 
 
 # fixed values: the checks declared for each table.  Ranges never judge NULL, and categories
 # are the lower-case names the mapping produces.
-DECLARED_CHECKS: dict[str, dict[str, Check]] = {
+DECLARED_CHECKS: dict[str, dict[str, Declared]] = {
     "raw_survey_a": _missing("response_id", "survey_year") | _domain("survey_year", SURVEY_YEARS),
     "raw_survey_b": _missing("response_id"),
     "raw_activity": _missing("activity_month", "repo_language"),
@@ -253,20 +270,37 @@ MART_CHECKS: dict[str, Check] = {
 }
 
 
+def _counted_rows(table: str, df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+    """Failing rows per condition, all counted in one pass over the table."""
+    totals = df.agg(*[F.expr(f"count_if({c}) AS `{n}`") for n, c in conditions.items()])
+    entries = ", ".join(
+        f"struct('{n}' AS test_name, `{n}` AS failure_count)" for n in conditions
+    )
+    return totals.selectExpr(f"inline(array({entries}))").select(
+        F.lit(table).alias("model_name"), "test_name", "failure_count"
+    )
+
+
 def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Failing rows per declared and mart check of the given tables, counted in one job."""
-    counted = None
+    """Status and failing rows of every declared and mart check of the given tables."""
+    counted = []
     for table, df in tables.items():
-        checks = dict(DECLARED_CHECKS.get(table, {}))
+        checks = DECLARED_CHECKS.get(table, {})
+        simple = {n: c.condition for n, c in checks.items() if c.condition}
+        if simple:
+            counted.append(_counted_rows(table, df, simple))
+        grouped: dict[str, Check] = {n: c for n, c in checks.items() if not c.condition}
         if table in MART_CHECKS:
-            checks[f"mart_rules_{table}"] = MART_CHECKS[table]
-        for name, check in checks.items():
-            row = check(df).agg(F.count(F.lit(1)).alias("failure_count"))
-            row = row.select(
-                F.lit(table).alias("model_name"),
-                F.lit(name).alias("test_name"),
-                F.when(F.col("failure_count") > 0, "fail").otherwise("pass").alias("status"),
-                "failure_count",
+            grouped[f"mart_rules_{table}"] = MART_CHECKS[table]
+        for name, check in grouped.items():
+            failures = check(df).agg(F.count(F.lit(1)).alias("failure_count"))
+            counted.append(
+                failures.select(
+                    F.lit(table).alias("model_name"),
+                    F.lit(name).alias("test_name"),
+                    "failure_count",
+                )
             )
-            counted = row if counted is None else counted.unionByName(row)
-    return counted
+    result = reduce(DataFrame.unionByName, counted)
+    status = F.when(F.col("failure_count") > 0, "fail").otherwise("pass").alias("status")
+    return result.select("model_name", "test_name", status, "failure_count")

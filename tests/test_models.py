@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from devpulse.operators import aggregates, joins, ordering, reshape, roles, staging, windows
 from devpulse.plans import activity, adoption, anomalies, compare, dimension, marts, salary
 from devpulse.plans import sentiment as lifecycle
-from devpulse.plans.spine import SEED_SCHEMA, mapping_seed, technologies, technology_spine
+from devpulse.plans.spine import mapping_seed, technologies, technology_spine
 
 
 @pytest.fixture(scope="module")
@@ -417,7 +417,41 @@ def test_shares_sum_to_one(spark, spine):
         assert abs(r.s - 1) < 1e-9
 
 
-def test_seed_schema_names():
-    assert [c.split()[0] for c in SEED_SCHEMA.split(", ")] == [
-        "source_name", "canonical_name", "technology_category", "technology_subcategory",
-    ]
+def test_spine_join_is_broadcast_by_its_known_size(spark, spine, tmp_path, rows):
+    """Planned as a broadcast before anything runs; past the limit it is a shuffle join with
+    the same rows."""
+    path = str(tmp_path / "s")
+    survey_a(spark, ("1", 2024, "Go;Rust", "Zig"), ("2", 2024, "Golang", None)).write.parquet(path)
+    named = reshape.technology_rows_a(spark.read.parquet(path))
+
+    def joined():
+        return joins.join_spine(named, spine, "technology_name")
+
+    def plan(df):
+        return df._jdf.queryExecution().sparkPlan().toString()
+
+    small = joined()
+    assert "BroadcastHashJoin" in plan(small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = joined()
+        assert "SortMergeJoin" in plan(large)
+        assert rows(large) == rows(small)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_counting_adds_no_shuffle_to_partitioned_respondents(spark, spine):
+    """Surveys that come out of a grouping by respondent keep that partitioning up to the
+    final, small, counts."""
+    answers = spark.range(1000).selectExpr(
+        "CAST(id % 50 AS STRING) AS response_id", "2020 + CAST(id % 3 AS INT) AS survey_year", "'Go;Rust' AS l"
+    )
+    grouped = answers.groupBy("response_id", "survey_year").agg(F.max("l").alias("language_have_worked_with"))
+    surveys = staging.stage_survey_a(grouped)
+    key = ("response_id", "survey_year")
+    named = joins.join_spine(reshape.technology_rows_a(surveys, key), spine, "technology_name")
+    counted = aggregates.adoption_counts(named, {"users_count": "is_currently_used"}, key)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(response_id") == 1
+    assert "response_id" not in [p for p in plan.split("Exchange hashpartitioning(")[1:] if "technology_name" in p.split(")")[0]][0].split(")")[0]
