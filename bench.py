@@ -14,8 +14,8 @@ from devpulse.registry import QUERIES
 from devpulse.session import local_session
 
 HEADLINE = [
-    "yearly_adoption_a",
-    "yearly_adoption_b",
+    "adoption_a",
+    "adoption_b",
     "activity_yearly",
     "technology_adoption",
     "said_vs_did",
@@ -38,18 +38,25 @@ HEADLINE = [
 REPEATS = 3
 
 
+def shuffled(spark) -> int:
+    """Bytes written to shuffles so far."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    return store.executorSummary("driver").totalShuffleWrite()
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, shuffle_mb = {}, {}
     for name in HEADLINE:
-        runs = []
+        runs, before = [], shuffled(spark)
         for _ in range(REPEATS):
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(runs), 3)
+        shuffle_mb[name] = round((shuffled(spark) - before) / REPEATS / 1e6, 3)
     scale = re.search(r"sf([\d.]+)", folder)
     print(
         json.dumps(
@@ -59,6 +66,9 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": float(scale.group(1)) if scale else folder,
+                "shuffle_write_mb": shuffle_mb,
+                "spark": spark.version,
+                "cores": spark.sparkContext.defaultParallelism,
             }
         )
     )

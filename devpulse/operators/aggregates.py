@@ -167,7 +167,7 @@ def filter_sources(df: DataFrame, sources: Sequence[str], metric: str | None = N
     return rows if metric is None else rows.where(F.col(metric).isNotNull())
 
 
-def filter_domain(df: DataFrame, column: str) -> DataFrame:
+def filter_domains(df: DataFrame, column: str) -> DataFrame:
     """Sorted distinct non-NULL values of a column, as offered by a selector."""
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 

@@ -90,7 +90,7 @@ def full_outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
     return left.join(right, list(keys), "full")
 
 
-def expected_pairs(df: DataFrame, column: str, values: Sequence[str], name: str) -> DataFrame:
+def cross_expected(df: DataFrame, column: str, values: Sequence[str], name: str) -> DataFrame:
     """Every value of `column` paired with each of a fixed list; an explode, not a cross join."""
     literals = F.array(*[F.lit(v) for v in values])
     return df.select(column).distinct().select(column, F.explode(literals).alias(name))
@@ -101,7 +101,7 @@ def anti_missing(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) ->
     return expected.join(actual.select(*keys), list(keys), "left_anti")
 
 
-def latest_rows(df: DataFrame, column: str) -> DataFrame:
+def latest_year_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows at the largest value of `column`, found by a scalar subquery."""
     latest = df.select(F.max(column)).scalar()
     return df.where(F.col(column) == latest)

@@ -32,7 +32,7 @@ def share_of_year(df: DataFrame, column: str, year: str) -> Column:
     return ratio(F.col(column), F.sum(column).over(Window.partitionBy(year)))
 
 
-def previous(column: str, partition: Sequence[str], year: str = "year") -> Column:
+def yoy_prior(column: str, partition: Sequence[str], year: str = "year") -> Column:
     """Value in the previous row of the partition (missing years are skipped)."""
     return F.lag(column).over(Window.partitionBy(*partition).orderBy(year))
 
@@ -40,14 +40,14 @@ def previous(column: str, partition: Sequence[str], year: str = "year") -> Colum
 def yoy_delta(
     column: str, partition: Sequence[str] = ("technology_name",), year: str = "year"
 ) -> Column:
-    return F.col(column) - previous(column, partition, year)
+    return F.col(column) - yoy_prior(column, partition, year)
 
 
 def yoy_abs_by_source(df: DataFrame, column: str = "survey_adoption_pct") -> DataFrame:
     """Absolute change since the previous row of the same technology and source."""
     rows = df.where(F.col(column).isNotNull())
     keys = ["technology_name", "data_source"]
-    return rows.withColumn("prior_year_pct", previous(column, keys)).withColumn(
+    return rows.withColumn("prior_year_pct", yoy_prior(column, keys)).withColumn(
         "yoy_change_abs", F.abs(F.col(column) - F.col("prior_year_pct"))
     )
 

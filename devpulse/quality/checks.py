@@ -6,7 +6,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.operators.windows import previous
+from devpulse.operators.windows import yoy_prior
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -102,7 +102,7 @@ def check_activity_validity(
     rows = df.where(F.col(column).isNotNull()).select(
         "technology_name", "year", F.col(column).alias("metric_value")
     )
-    rows = rows.withColumn("_prior", previous("metric_value", ["technology_name"]))
+    rows = rows.withColumn("_prior", yoy_prior("metric_value", ["technology_name"]))
     value, prior = F.col("metric_value"), F.col("_prior")
     return failing(
         rows,

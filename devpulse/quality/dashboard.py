@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from devpulse.constants import DASHBOARD_FRESH_HOURS, DASHBOARD_STALE_HOURS
 from devpulse.functions import round_half_away
 from devpulse.operators.aggregates import count_where
-from devpulse.operators.joins import latest_rows
+from devpulse.operators.joins import latest_year_rows
 from devpulse.operators.ordering import order_by_rank
 
 
@@ -25,7 +25,7 @@ def _rates() -> list[Column]:
 
 def latest_run(log: DataFrame) -> DataFrame:
     """Results of the newest run."""
-    return latest_rows(log, "run_at")
+    return latest_year_rows(log, "run_at")
 
 
 def full_outer_health(summary: DataFrame, freshness: DataFrame) -> DataFrame:

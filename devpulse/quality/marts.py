@@ -16,7 +16,7 @@ from devpulse.constants import (
     UNPIVOTED_CATEGORIES,
 )
 from devpulse.functions import round_half_away
-from devpulse.operators.joins import anti_missing, expected_pairs
+from devpulse.operators.joins import anti_missing, cross_expected
 from devpulse.operators.windows import yoy_abs_by_source
 from devpulse.quality.checks import (
     check_accepted_range,
@@ -63,7 +63,7 @@ def check_adoption_mart(
     )
     pairs = df.select("year", "data_source").distinct()
     missing = (
-        anti_missing(expected_pairs(df, "year", sources, "data_source"), pairs, pairs.columns)
+        anti_missing(cross_expected(df, "year", sources, "data_source"), pairs, pairs.columns)
         .withColumn("technology_name", F.lit(None).cast("string"))
         .withColumn("failure_reason", F.lit("missing_data_source_for_year"))
     )

@@ -1,5 +1,7 @@
 """Reading-side operators: header maps, wide options, event scans, load counts."""
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from devpulse import adapters as A
@@ -14,7 +16,13 @@ from devpulse.sources.catalog import (
     source_counts,
     top_values,
 )
-from devpulse.sources.files import events_between, map_columns
+from devpulse.sources.files import events_between, map_columns, scan_csv, scan_events
+from devpulse.sources.sinks import (
+    append_results,
+    scratch_path,
+    write_full_refresh,
+    write_replace_years,
+)
 from devpulse.sources.wide import (
     collect_wide_multiselect,
     first_present_field,
@@ -23,6 +31,11 @@ from devpulse.sources.wide import (
 )
 
 
+def scratch(spark):
+    """Where round trips write: the shared folder, or a temporary one where none is set."""
+    return scratch_path(spark) or tempfile.mkdtemp(prefix="devpulse-")
+
+
 def as_file(spark, d):
     """Survey A as its file has it: original headers, padded and quoted cells."""
     raw = A.raw_survey_a(spark, d)
@@ -259,3 +272,89 @@ def _(spark, d):
     return rows.groupBy("language").agg(F.count(F.lit(1)).alias("respondents"))
 
 
+
+
+# --- round trips through files ---------------------------------------------------
+
+NULLED = "case when {0} in ('', 'NA', 'NULL', 'null', 'None') then null else {0} end as {0}"
+
+
+@query(
+    "scan_csv",
+    f"select conv_id, turn, {NULLED.format('role')}, {NULLED.format('text')} from conversations",
+)
+def _(spark, d):
+    """Whole texts with line breaks, quotes and separators, written as CSV and read back."""
+    table, path = A.load(spark, d, "conversations"), scratch(spark)
+    table.write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    return scan_csv(spark, path, table.schema)
+
+
+@query(
+    "scan_events_by_day",
+    """select event_id, event_type, cast(ts as date) as day from events
+       where cast(ts as date) between date '2024-01-05' and date '2024-01-20'
+         and event_type in ('click', 'view')""",
+)
+def _(spark, d):
+    """The event table laid out by day, so that the range prunes folders."""
+    path = scratch(spark)
+    events = A.load(spark, d, "events").withColumn("day", F.to_date("ts"))
+    write_full_refresh(events, path, ["day"])
+    found = scan_events(
+        spark, path, "2024-01-05", "2024-01-20", ["click", "view"], type_column="event_type"
+    )
+    return found.select("event_id", "event_type", "day")
+
+
+def yearly_orders(spark, d):
+    return A.load(spark, d, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").alias("survey_year")
+    )
+
+
+@query(
+    "write_full_refresh",
+    """select o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) as survey_year
+       from orders where o_totalprice > 1000""",
+)
+def _(spark, d):
+    path, orders = scratch(spark), yearly_orders(spark, d)
+    write_full_refresh(orders.where("o_totalprice <= 1000"), path, ["survey_year"])
+    write_full_refresh(orders.where("o_totalprice > 1000"), path, ["survey_year"])
+    return spark.read.parquet(path)
+
+
+@query(
+    "write_replace_years",
+    """select o_orderkey, case when year(o_orderdate) in (1996, 1997) then 0.0::double
+              else o_totalprice end as o_totalprice,
+              cast(year(o_orderdate) as integer) as survey_year
+       from orders""",
+)
+def _(spark, d):
+    path, orders = scratch(spark), yearly_orders(spark, d)
+    write_full_refresh(orders, path, ["survey_year"])
+    write_replace_years(orders.withColumn("o_totalprice", F.lit(0.0)), path, [1996, 1997])
+    return spark.read.parquet(path)
+
+
+@query(
+    "append_results",
+    """select run_id, test_name, status, failure_count from log
+       union all select run_id, test_name, 'pass', 0 from log where status = 'fail'""",
+)
+def _(spark, d):
+    path, log = scratch(spark), A.check_log(spark, d)
+    append_results(log, path)
+    fixed = log.where("status = 'fail'").withColumns(
+        {"status": F.lit("pass"), "failure_count": F.lit(0).cast("long")}
+    )
+    append_results(fixed, path)
+    return spark.read.parquet(path).select("run_id", "test_name", "status", "failure_count")

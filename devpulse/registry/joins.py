@@ -17,7 +17,7 @@ from devpulse.operators.aggregates import (
 from devpulse.operators.reshape import unpivot_survey_a
 from devpulse.operators.roles import top_per
 from devpulse.operators.windows import (
-    previous,
+    yoy_prior,
     share_of_year,
     trailing_stats,
     yoy_abs_by_source,
@@ -164,22 +164,22 @@ def _(spark, d):
 
 
 @query(
-    "latest_rows",
+    "latest_year_rows",
     """select event_id, ts from events
        where cast(ts as date) = (select max(cast(ts as date)) from events)""",
 )
 def _(spark, d):
     events = A.load(spark, d, "events").withColumn("day", F.to_date("ts"))
-    return J.latest_rows(events, "day").select("event_id", "ts")
+    return J.latest_year_rows(events, "day").select("event_id", "ts")
 
 
 @query(
-    "expected_pairs",
+    "cross_expected",
     """select distinct c_nationkey, s.source from customer,
               (values ('x'), ('y'), ('z')) s(source)""",
 )
 def _(spark, d):
-    return J.expected_pairs(A.load(spark, d, "customer"), "c_nationkey", ["x", "y", "z"], "source")
+    return J.cross_expected(A.load(spark, d, "customer"), "c_nationkey", ["x", "y", "z"], "source")
 
 
 @query(
@@ -300,7 +300,7 @@ def _(spark, d):
         from ({PRICES})""",
 )
 def _(spark, d):
-    prior = previous("survey_adoption_pct", ["technology_name", "data_source"])
+    prior = yoy_prior("survey_adoption_pct", ["technology_name", "data_source"])
     return yearly_prices(spark, d).select(
         "year", "technology_name", "data_source", prior.alias("prior")
     )

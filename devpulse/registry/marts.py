@@ -103,7 +103,7 @@ def _(spark, d):
 
 
 @query(
-    "yearly_adoption_a",
+    "adoption_a",
     "select *, 'stackoverflow' as data_source from yearly_a",
 )
 def _(spark, d):
@@ -111,7 +111,7 @@ def _(spark, d):
 
 
 @query(
-    "yearly_adoption_b",
+    "adoption_b",
     "select *, 'jetbrains' as data_source from yearly_b",
 )
 def _(spark, d):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from devpulse import adapters as A
 from devpulse import functions as fn
-from devpulse.operators.aggregates import filter_domain, filter_sources
+from devpulse.operators.aggregates import filter_domains, filter_sources
 from devpulse.operators.joins import presence_flags
 from devpulse.operators.reshape import (
     explode_multiselect,
@@ -179,11 +179,11 @@ def _(spark, d):
 
 
 @query(
-    "filter_domain",
+    "filter_domains",
     "select distinct p_type from part where p_type is not null",
 )
 def _(spark, d):
-    return filter_domain(A.load(spark, d, "part"), "p_type")
+    return filter_domains(A.load(spark, d, "part"), "p_type")
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from devpulse.constants import SURVEY_SOURCES
 from devpulse.functions import clamp, ordered_text, round_half_away
 from devpulse.operators.aggregates import filter_sources, mean_over_sources, top_n_by_mean
-from devpulse.operators.joins import keep_top, latest_rows
+from devpulse.operators.joins import keep_top, latest_year_rows
 from devpulse.operators.ordering import first_last, order_by_abs, top_k
 from devpulse.operators.roles import label_roles, skill_shares, top_per
 
@@ -265,7 +265,7 @@ def top_gaps(facts: DataFrame, first_year: int = 2022, n: int = 30) -> DataFrame
 
 def latest_sentiment(sentiment: DataFrame, n: int = 25) -> DataFrame:
     """Largest desire gaps of the latest year."""
-    rows = latest_rows(sentiment, "year").select(
+    rows = latest_year_rows(sentiment, "year").select(
         "year",
         "technology_name",
         "technology_category",
@@ -283,7 +283,7 @@ def salary_premiums(
 ) -> DataFrame:
     """Best premiums of a country in the latest year, for well-covered technologies."""
     totals = (
-        latest_rows(salary, "survey_year")
+        latest_year_rows(salary, "survey_year")
         .where(F.col("country") == country)
         .groupBy("technology_name", "technology_category")
         .agg(
@@ -299,7 +299,7 @@ def salary_premiums(
 def emerging_declining(sentiment: DataFrame, stages: Sequence[str] = ("emerging", "declining")) -> DataFrame:
     """Technologies of the latest year in one of two stages."""
     return (
-        latest_rows(sentiment, "year")
+        latest_year_rows(sentiment, "year")
         .where(F.col("lifecycle_stage").isin(list(stages)))
         .select("technology_name", "lifecycle_stage", "adoption_pct", "desire_pct", "desire_gap")
         .orderBy("lifecycle_stage", F.desc_nulls_first("desire_gap"), "technology_name")

@@ -2,12 +2,12 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from devpulse.constants import ARCHIVE_EVENT_TYPES, NULL_TOKENS
-from devpulse.functions import null_if_token, strip_quotes
+from devpulse.functions import null_if_token, strip_quotes, to_whole_number
 
 
 def scan_csv(
@@ -18,24 +18,37 @@ def scan_csv(
     null_tokens: Sequence[str] = NULL_TOKENS,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Quoted CSV with a header.
+    """Quoted CSV with a header; columns are taken by position when a schema is given.
 
     Short rows are padded with NULL and long rows cut, so a wrong column count never loses a
-    row.  `multi_line` allows line breaks inside quotes, which makes each file one unit of
-    work; turn it off for huge files that are known to have none, and Spark splits them.
+    row; a row whose text does not fit the type of a column is skipped.  `multi_line` allows
+    line breaks inside quotes, which makes each file one unit of work; turn it off for huge
+    files that are known to have none, and Spark splits them.
     """
     reader = spark.read.options(
         header=True, sep=sep, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line
     )
-    raw = (reader.schema(schema) if schema is not None else reader).csv(path)
-    return raw.select(
-        *[
-            null_if_token(F.col(f"`{f.name}`"), null_tokens).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f"`{f.name}`")
-            for f in raw.schema.fields
-        ]
-    )
+    if schema is None:
+        raw = reader.csv(path)
+        return raw.select(
+            *[null_if_token(F.col(f"`{c}`"), null_tokens).alias(c) for c in raw.columns]
+        )
+    texts = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in schema.names]))
+    raw = texts.csv(path)
+    present = {n: null_if_token(F.col(f"`{n}`"), null_tokens) for n in schema.names}
+    typed = {f.name: _typed(present[f.name], f.dataType) for f in schema.fields}
+    misfit = F.lit(False)
+    for name, value in typed.items():
+        misfit = misfit | (present[name].isNotNull() & value.isNull())
+    return raw.where(~misfit).select(*[value.alias(name) for name, value in typed.items()])
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.IntegralType):
+        return to_whole_number(text).try_cast(kind)
+    return F.trim(text).try_cast(kind)
 
 
 def map_columns(df: DataFrame, mapping: Mapping[str, str], year: int) -> DataFrame:

@@ -43,16 +43,20 @@ def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def scratch_path(spark: SparkSession) -> str | None:
+    """A new path in the session's shared checkpoint folder, None where it has none."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return f"{folder.rstrip('/')}/devpulse-{uuid.uuid4().hex}" if folder else None
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the session's shared checkpoint folder and read it back.
 
     Models built on the result start from files that outlive a lost executor, read only the
     columns they need, and know the table's real size, which lets Spark broadcast it when it
     is small.  A session without such a folder gets the frame back unchanged."""
-    spark: SparkSession = df.sparkSession
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+    path = scratch_path(df.sparkSession)
+    if path is None:
         return df
-    path = f"{folder.rstrip('/')}/devpulse-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -346,8 +346,8 @@ def test_trailing_stats_frames(spark):
 
 def test_joins_and_orders(spark, rows):
     df = spark.createDataFrame([(1, "a", 3.0), (1, "b", -9.0), (2, "a", None), (2, "c", 9.0)], "y int, n string, v double")
-    assert rows(joins.latest_rows(df, "y"), "n") == [("a",), ("c",)]
-    pairs = joins.expected_pairs(df, "y", ["a", "b"], "n")
+    assert rows(joins.latest_year_rows(df, "y"), "n") == [("a",), ("c",)]
+    pairs = joins.cross_expected(df, "y", ["a", "b"], "n")
     assert rows(joins.anti_missing(pairs, df, ["y", "n"])) == [(2, "b")]
     assert [r.n for r in ordering.order_by_abs(df, "v", [F.asc("n")]).collect()] == ["b", "c", "a", "a"]
     assert ordering.order_by_abs(df, "v", [F.asc("n")], nulls_first=True).first().v is None

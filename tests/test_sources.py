@@ -30,10 +30,18 @@ def test_scan_csv_keeps_every_row(spark, tmp_path, rows):
 
 def test_scan_csv_with_schema_and_tabs(spark, tmp_path, rows):
     path = tmp_path / "a.tsv"
-    path.write_text("activity_month\tlanguage\tn\n2024-01-01\tGo\t5\n2024-02-01\tNone\t6\n")
+    path.write_text(
+        "activity_month\tlanguage\tn\n2024-01-01\tGo\t5\n2024-02-01\tNone\t6.5\n"
+        "soon\tGo\t5\n2024-03-01\tGo\tmany\n2024-04-01\tGo\n"
+    )
     schema = StructType.fromDDL("activity_month date, language string, n long")
     df = files.scan_csv(spark, str(path), schema, sep="\t", multi_line=False)
-    assert rows(df) == [(dt.date(2024, 1, 1), "Go", 5), (dt.date(2024, 2, 1), None, 6)]
+    # rows that do not fit the types are skipped, short ones are kept
+    assert rows(df) == [
+        (dt.date(2024, 1, 1), "Go", 5),
+        (dt.date(2024, 2, 1), None, 7),
+        (dt.date(2024, 4, 1), "Go", None),
+    ]
 
 
 def test_map_columns_first_header_wins(spark, rows):
