@@ -86,7 +86,8 @@ def count_true(*flags: Column) -> Column:
 
 
 def full_outer_compare(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of both sides matched on `keys`; keys come from whichever side has them."""
+    """Rows of both sides matched on `keys`; keys come from whichever side has them.  Meant for
+    sides with one row per key, such as two aggregates."""
     return left.join(right, list(keys), "full")
 
 

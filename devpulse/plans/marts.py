@@ -18,7 +18,13 @@ from devpulse.plans.spine import technology_spine
 from devpulse.sources.sinks import cut_lineage, materialize
 
 NATURAL_KEY = ("response_id", "survey_year")
-VIEWS = {"staged_survey_a", "staged_survey_b", "staged_activity", "technologies_a", "technologies_b"}
+VIEWS = {
+    "staged_survey_a",
+    "staged_survey_b",
+    "staged_activity",
+    "technologies_a",
+    "technologies_b",
+}
 
 
 @dataclass

@@ -8,7 +8,9 @@ from devpulse.operators.joins import join_dim
 from devpulse.operators.windows import yoy_delta
 
 
-def lifecycle_stage(adoption: Column, desire: Column, d_adoption: Column, d_desire: Column) -> Column:
+def lifecycle_stage(
+    adoption: Column, desire: Column, d_adoption: Column, d_desire: Column
+) -> Column:
     """The first year of a technology has no change and so is never emerging or declining."""
     wanted, settled = desire > adoption, adoption > desire
     return (

@@ -88,7 +88,9 @@ def check_response_range(
     ).where(F.col("failure_reason").isNotNull())
 
 
-def failing(rows: DataFrame, columns: Sequence[str | Column], reasons: Sequence[Column]) -> DataFrame:
+def failing(
+    rows: DataFrame, columns: Sequence[str | Column], reasons: Sequence[Column]
+) -> DataFrame:
     """One output row per reason that holds for a row (a reason is NULL when it does not).
     All reasons of a row are tested in one pass over the data."""
     found = F.explode(F.array_compact(F.array(*reasons))).alias("failure_reason")

@@ -137,7 +137,9 @@ def meaningful_pay(salary: DataFrame, min_respondents: int = 10) -> DataFrame:
     )
 
 
-def country_totals(salary: DataFrame, year: int, n: int = 30, min_respondents: int = 10) -> DataFrame:
+def country_totals(
+    salary: DataFrame, year: int, n: int = 30, min_respondents: int = 10
+) -> DataFrame:
     """The `n` countries with most respondents in a year."""
     totals = (
         meaningful_pay(salary, min_respondents)
@@ -218,7 +220,8 @@ def role_skills(surveys: DataFrame, role: str, column: str, n: int = 15) -> Data
 
 def role_skills_compare(surveys: DataFrame, column: str, n: int = 12) -> DataFrame:
     """Most listed skills of every role, in one grouped query."""
-    return top_per(skill_shares(label_roles(surveys), column, ["role"]), ["role"], _most_listed(), n)
+    shares = skill_shares(label_roles(surveys), column, ["role"])
+    return top_per(shares, ["role"], _most_listed(), n)
 
 
 def role_skills_trend(
@@ -296,7 +299,9 @@ def salary_premiums(
     return top_k(totals, [F.desc_nulls_first("avg_premium_pct"), F.asc("technology_name")], n)
 
 
-def emerging_declining(sentiment: DataFrame, stages: Sequence[str] = ("emerging", "declining")) -> DataFrame:
+def emerging_declining(
+    sentiment: DataFrame, stages: Sequence[str] = ("emerging", "declining")
+) -> DataFrame:
     """Technologies of the latest year in one of two stages."""
     return (
         latest_year_rows(sentiment, "year")
