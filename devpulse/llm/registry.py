@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devpulse.llm.common import table
 from devpulse.llm.packing import pack
+from devpulse.llm.secrets import find_secrets
 from devpulse.llm.warc import read_archives, write_archives
 from devpulse.sources.sinks import scratch_path
 
@@ -53,7 +54,7 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
          select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
        ), coded as (
          select page_id, hex, strlen(html) as payload_bytes,
-                list_aggregate(list_transform(range(32), k -> substr(
+                list_aggregate(list_transform(range(32), lambda k: substr(
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                   1 + cast((cast('0x' || substr(hex, 1 + 10 * cast(k // 8 as integer), 10) as bigint)
                       >> (35 - 5 * (k % 8))) & 31 as integer), 1)), 'string_agg', '') as payload_digest
@@ -70,3 +71,8 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     return checked(read_archives(spark, path, with_payload=False)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op1_secret_scans")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    return find_secrets(table(spark, d, "documents")).drop("redacted")
