@@ -5,9 +5,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
 from devpulse.llm.packing import pack
 from devpulse.llm.secrets import find_secrets
+from devpulse.llm.simhash import near_duplicates
 from devpulse.llm.warc import read_archives, write_archives
 from devpulse.sources.sinks import scratch_path
 
@@ -76,3 +78,13 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 @query("op1_secret_scans")
 def op1(spark: SparkSession, d: str) -> DataFrame:
     return find_secrets(table(spark, d, "documents")).drop("redacted")
+
+
+@query("op9_fingerprints")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return compare_edited(table(spark, d, "documents"))
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"))
