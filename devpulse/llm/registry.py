@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
+from devpulse.llm.hmm import learn_and_score
 from devpulse.llm.packing import pack
 from devpulse.llm.secrets import find_secrets
 from devpulse.llm.simhash import near_duplicates
@@ -88,3 +89,8 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @query("op3_simhash")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "documents"))
+
+
+@query("op5_language_model")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return learn_and_score(table(spark, d, "documents"))
