@@ -11,6 +11,7 @@ own, an empty table gives no rows."""
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from devpulse.llm.common import batch, pieces, text_column
 CAPACITY = 4096
 END_ID = 2
 # chunks whose ids a worker remembers
-CACHED = 300_000
+CACHED = 500_000
 # what str.split() takes for white space and the tokenizer does not
 SEPARATORS = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[ \t\n\x0b\x0c\r]+")
@@ -40,7 +41,8 @@ class Chunks:
     """Token ids of texts, by way of the ids of their chunks between white space.
 
     The tokenizer drops white space and no token spans it, so a text's ids are its chunks' ids in
-    a row.  Each chunk is given to the tokenizer once and then remembered, up to a bound."""
+    a row.  Chunks are given to the tokenizer once and then remembered, as little-endian bytes:
+    at most two generations of `CACHED`, of which the older goes when the younger is full."""
 
     _loaded: dict[str, "Chunks"] = {}
 
@@ -48,7 +50,12 @@ class Chunks:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.closes = np.array(
+            [str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)]
+        )
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Chunks":
@@ -57,25 +64,57 @@ class Chunks:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def each(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, asked for one by one."""
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def together(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks of letters alone, asked for as one text: each is one word of it, whose
+        last token is the only one to close a word."""
+        (found,) = self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+        if len(ends) != len(chunks):
+            return self.each(chunks)
+        data = ids.tobytes()
+        ends = ends.tolist()
+        return [data[s:e] for s, e in zip([0, *ends], ends, strict=False)]
+
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.known) > CACHED:
+            self.older, self.known = self.known, {}
+        letters, others, marked = set(), [], []
+        for c in chunks - self.known.keys():
+            ids = self.older.get(c)
+            if ids is not None:
+                self.known[c] = ids
+            elif c.isalpha():
+                letters.add(c)
+            elif c[-1] in ",." and c[:-1].isalpha():
+                # a word and a mark are two words to the tokenizer
+                marked.append(c)
+                letters.add(c[:-1])
+            else:
+                others.append(c)
+        if marked:
+            others += [m for m in ",." if m not in self.known]
+        letters -= self.known.keys()
+        for ask, wanted in ((self.together, list(letters)), (self.each, others)):
+            for start in range(0, len(wanted), 20_000):
+                part = wanted[start : start + 20_000]
+                self.known.update(zip(part, ask(part), strict=True))
+        for c in marked:
+            self.known[c] = self.known[c[:-1]] + self.known[c[-1]]
+
+    def ids(self, texts: list[str], end_id: int) -> list[np.ndarray]:
+        """The ids of each text and `end_id`."""
         split = [
             [c for c in BLANKS.split(t) if c] if SEPARATORS.search(t) else t.split() for t in texts
         ]
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        new = list({c for s in split for c in s if c not in known})
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update(zip(part, (tuple(e.ids) for e in found), strict=True))
-        out = []
-        for s in split:
-            ids: list[int] = []
-            for c in s:
-                ids += known[c]
-            out.append(ids)
-        return out
+        self.learn(set(chain.from_iterable(split)))
+        of, end = self.known.__getitem__, np.array([end_id], "<u4").tobytes()
+        return [np.frombuffer(b"".join(map(of, s)) + end, "<u4") for s in split]
 
 
 def pack(
@@ -106,16 +145,16 @@ def pack(
         chunks = Chunks.of(tokenizer_path)
         for b in pieces(batches):
             rows: dict[str, list] = {f.name: [] for f in schema}
-            for doc, ids in zip(b["doc_id"].to_pylist(), chunks.ids(b["text"].to_pylist()), strict=True):
-                ids.append(end_id)
-                data, at = np.array(ids, "<u4"), 0
-                for n in binary_lengths(len(ids), capacity):
+            texts = chunks.ids(b["text"].to_pylist(), end_id)
+            for doc, data in zip(b["doc_id"].to_pylist(), texts, strict=True):
+                at = 0
+                for n in binary_lengths(len(data), capacity):
                     piece = data[at : at + n]
                     rows["doc_id"].append(doc)
                     rows["start"].append(at)
                     rows["length"].append(n)
                     rows["ids_crc32"].append(zlib.crc32(piece.tobytes()))
-                    rows["doc_tokens"].append(len(ids))
+                    rows["doc_tokens"].append(len(data))
                     rows["bucket"].append(n.bit_length() - 1)
                     if with_ids:
                         rows["ids"].append(piece.astype(np.int32))
