@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
+from devpulse.llm.decontaminate import contaminated
 from devpulse.llm.hmm import learn_and_score
 from devpulse.llm.packing import pack
 from devpulse.llm.secrets import find_secrets
@@ -94,3 +95,8 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
 @query("op5_language_model")
 def op5(spark: SparkSession, d: str) -> DataFrame:
     return learn_and_score(table(spark, d, "documents"))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
