@@ -53,6 +53,17 @@ def grams(found: list[bytes], number: dict[bytes, int], n: int = N) -> np.ndarra
     return out
 
 
+def among(own: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in `own` of values that the sorted array `wanted` has, and their places there."""
+    places = np.flatnonzero(own >= 0)
+    if not len(wanted) or not len(places):
+        return places[:0], places[:0]
+    values = own[places]
+    at = np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)
+    same = wanted[at] == values
+    return places[same], at[same]
+
+
 def align(a: list[bytes], b: list[bytes]) -> tuple[int, int, int]:
     """Smith-Waterman: (best score, start and end in b of the stretch that gives it).
 
@@ -142,8 +153,7 @@ def frequencies(docs: DataFrame, wanted: np.ndarray, number: dict[bytes, int]) -
         counts = np.zeros(len(wanted), np.int64)
         for b in pieces(batches):
             for data in utf8(b["text"]):
-                own = np.unique(grams(clean_words(data), number))
-                counts[np.isin(wanted, own, assume_unique=True)] += 1
+                counts[np.unique(among(grams(clean_words(data), number), wanted)[1])] += 1
         some = np.flatnonzero(counts)
         yield batch(schema, {"gram": pa.array(wanted[some]), "df": pa.array(counts[some])})
 
@@ -210,7 +220,7 @@ def aligned(docs: DataFrame, items: list[dict], share: float) -> DataFrame:
                 found = clean_words(data)
                 own = grams(found, number)
                 hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-                for p in np.flatnonzero(np.isin(own, seeded)).tolist():
+                for p in among(own, seeded)[0].tolist():
                     for item, q in index[int(own[p])]:
                         hits[item].append((p, q))
                 for item, places in hits.items():

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devpulse.llm import toxicity
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
 from devpulse.llm.decontaminate import contaminated
@@ -100,3 +101,8 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @query("op6_decontamination")
 def op6(spark: SparkSession, d: str) -> DataFrame:
     return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
