@@ -33,6 +33,22 @@ def words(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, learned: Column, most: int
+) -> DataFrame:
+    """(text, label) of at most `most` documents whose label may be learned: those of smallest id
+    hash.  Of labels that contradict the larger counts, null ones do not."""
+    known = (
+        labels.where(F.col(label).isNotNull() & learned)
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.max(label).cast("int").alias(label))
+    )
+    some = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    texts = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
+    # the sample has a bound, so the texts stay where they are
+    return texts.join(F.broadcast(some), "doc_id").select("text", label)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """An Arrow text column as bytes, nulls as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.llm import toxicity
+from devpulse.llm import quality, toxicity
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
 from devpulse.llm.decontaminate import contaminated
@@ -106,3 +106,8 @@ def op6(spark: SparkSession, d: str) -> DataFrame:
 @query("op2_toxicity")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.scored(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return quality.scored(table(spark, d, "documents"), table(spark, d, "labels"))

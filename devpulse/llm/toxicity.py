@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.llm.common import batch, fold, pieces, stored, text_column, utf8, words
+from devpulse.llm.common import batch, fold, labelled_sample, pieces, stored, text_column, utf8, words
 
 FOLDS, HELD = 3, 1
 THRESHOLD = 0.7
@@ -30,7 +30,7 @@ LABELLED = 20_000
 FEATURES = 20_000
 # toxic documents a feature must be in, and the share of them, and least logarithm of its odds ratio
 LEAST_DOCUMENTS = 4
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.01
 LEAST_WEIGHT = 2.5
 BEGINNINGS = (4, 5, 6)
 # words a worker remembers
@@ -218,18 +218,6 @@ def make_speller(counts: np.ndarray, lexicon: dict[str, float]) -> Speller:
     return Speller(np.log(0.5 * shares(counts) + 0.5 * shares(own)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of at most LABELLED labelled documents outside the held-out fold."""
-    known = (
-        labels.where(F.col("toxic").isNotNull() & (fold(FOLDS) != HELD))
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-    )
-    some = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
-    texts = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
-    return texts.join(F.broadcast(some), "doc_id").select("text", "toxic")
-
-
 def feature_counts(sample: DataFrame) -> DataFrame:
     """(feature, toxic, clean): the number of sampled documents of each label that have it."""
     schema = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -267,7 +255,7 @@ def fit(x: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Judge:
-    sample = stored(labelled_sample(docs, labels))
+    sample = stored(labelled_sample(docs, labels, "toxic", fold(FOLDS) != HELD, LABELLED))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
