@@ -13,6 +13,7 @@ from devpulse.llm.hmm import learn_and_score
 from devpulse.llm.packing import pack
 from devpulse.llm.secrets import find_secrets
 from devpulse.llm.simhash import near_duplicates
+from devpulse.llm.surrogates import replace_entities
 from devpulse.llm.warc import read_archives, write_archives
 from devpulse.sources.sinks import scratch_path
 
@@ -111,3 +112,9 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, d: str) -> DataFrame:
     return quality.scored(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op4_surrogates")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return replace_entities(docs).select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
