@@ -109,19 +109,34 @@ def count_words(training: DataFrame) -> DataFrame:
     return counted.groupBy("word", "class", "key").agg(F.sum("c").alias("c"))
 
 
+def commonest(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words, counts and classes of the commonest words, at most `most`: those above the least
+    count that leaves no more, so that no task or driver has to order all of them."""
+    held = stored(counts.groupBy("c").agg(F.count("*").alias("n")))
+    above = lambda c: held.where(F.col("c") >= c).agg(F.sum("n")).first()[0] or 0
+    low, least = 0, 1 + (held.agg(F.max("c")).first()[0] or 0)
+    while least - low > 1:
+        middle = (low + least) // 2
+        low, least = (low, middle) if above(middle) <= most else (middle, least)
+    found = counts.where(F.col("c") >= least).select("word", "c", "class").toArrow()
+    named, c, classes = (found[n].combine_chunks() for n in ("word", "c", "class"))
+    named, c, classes = named.to_pylist(), c.to_numpy(), classes.to_numpy()
+    order = sorted(range(len(named)), key=lambda i: (-c[i], named[i]))
+    return [named[i] for i in order], c[order].astype(np.int64), classes[order].astype(np.int64)
+
+
 def learn_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     total = counts.agg(F.sum("c"), F.count("*")).first()
-    found = counts.orderBy(F.desc("c"), "word").select("word", "c", "class").limit(KNOWN).toPandas()
-    by_class = counts.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+    known, c, classes = commonest(counts, KNOWN)
     sums = np.zeros((CLASSES, 2))
-    for r in by_class:
+    for r in counts.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         sums[r["class"]] = r["c"], r["v"]
     # the commonest words are symbols of their own
-    top = found.head(TOP)
-    np.subtract.at(sums, top["class"].to_numpy(dtype=np.int64), np.column_stack([top["c"], np.ones(len(top))]))
+    top = slice(0, TOP)
+    np.subtract.at(sums, classes[top], np.column_stack([c[top], np.ones(len(c[top]))]))
     return Vocabulary(
-        [bytes(w) for w in found["word"]],
-        found["c"].to_numpy(dtype=np.int64),
+        known,
+        c,
         documents,
         int(total[0] or 0) + documents,
         total[1] + (documents > 0),

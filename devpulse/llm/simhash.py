@@ -26,6 +26,9 @@ SEED = 42
 DISTANCE = 3
 # most members of a group of equal variants that is checked as it is
 GROUP = 512
+# groups of several members up to this many (20 bytes each) are sent to all tasks; beyond, the
+# index is shuffled a second time to meet them
+SENT_GROUPS = 1_000_000
 # up to here a group's verified links need no centre
 FEW = 8
 # the pipeline's near copies
@@ -154,7 +157,8 @@ def candidate_links(prints: DataFrame, choose=spanning) -> DataFrame:
     indexed = variants(prints)
     counted = indexed.groupBy("f", "key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(counted)
-    members = stored(indexed.join(shared, ["f", "key"]))
+    sent = F.broadcast(shared) if shared.count() <= SENT_GROUPS else shared
+    members = stored(indexed.join(sent, ["f", "key"]))
     gather = F.collect_list(F.struct("fp", "node")).alias("members")
     small = members.where(F.col("n") <= GROUP).groupBy("f", "key").agg(gather)
     large = subvariants(members.where(F.col("n") > GROUP)).groupBy("f", "key", "sub").agg(gather)
