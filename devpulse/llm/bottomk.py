@@ -10,6 +10,7 @@ and any other not at all."""
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,19 +134,21 @@ def merged(sketches: DataFrame, by: str, k: int = K, salts: int = 64) -> DataFra
     Sketches of a key meet in `salts` parts first and those parts then, so no task gathers a hot
     key; what a task holds is one sketch."""
 
-    def run(key, batches):
+    whole = isinstance(sketches.schema[by].dataType, T.LongType | T.IntegerType)
+    schema = pa.schema([("key", pa.int64() if whole else pa.string()), ("fingerprint", pa.string())])
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.array([], np.uint64)
         for b in batches:
             for s in b["fingerprint"].to_pylist():
                 total = merge(total, from_text(s or ""), k)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], kind), pa.array([to_text(total)])], names)
+        yield batch(schema, {"key": [key[0].as_py()], "fingerprint": [to_text(total)]})
 
-    names = [by, "fingerprint"]
-    kind = pa.int64() if isinstance(sketches.schema[by].dataType, T.LongType | T.IntegerType) else pa.string()
-    schema = f"`{by}` {'long' if kind == pa.int64() else 'string'}, fingerprint string"
+    ddl = f"key {'long' if whole else 'string'}, fingerprint string"
     part = F.pmod(F.xxhash64("fingerprint"), F.lit(salts)).alias("part")
-    first = sketches.select(by, "fingerprint").groupBy(by, part).applyInArrow(run, schema)
-    return first.groupBy(by).applyInArrow(run, schema)
+    keyed = sketches.select(F.col(f"`{by}`").cast("long" if whole else "string").alias("key"), "fingerprint")
+    first = keyed.groupBy("key", part).applyInArrow(run, ddl)
+    return first.groupBy("key").applyInArrow(run, ddl).withColumnRenamed("key", by)
 
 
 def in_order(docs: DataFrame, buckets: int) -> DataFrame:

@@ -28,7 +28,7 @@ WINDOW = 4
 # score of a match, of a changed word, of a gap of one word
 MATCH, CHANGE, GAP = 2, -1, -1
 SHARE = 0.5
-# test items up to this many words in all go to every task; beyond, seeds meet them in a join
+# words of test items that go to every task at once; the cube of one more fits 64 bits
 SENT_WORDS = 1_000_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -38,8 +38,8 @@ def clean_words(data: bytes) -> list[bytes]:
 
 
 def grams(found: list[bytes], number: dict[bytes, int], n: int = N) -> np.ndarray:
-    """The n-grams as numbers, from the numbers of the test items' words (1 and up, at most
-    SENT_WORDS); -1 where a word is in no test item."""
+    """The n-grams as numbers, from the numbers of the test items' words (1 and up);
+    -1 where a word is in no test item."""
     ids = np.fromiter(map(number.get, found, repeat(-1)), np.int64, len(found))
     if 0 < len(ids) < n:
         ids = np.concatenate([ids, np.zeros(n - len(ids), np.int64)])
@@ -47,7 +47,7 @@ def grams(found: list[bytes], number: dict[bytes, int], n: int = N) -> np.ndarra
     out, known = np.zeros(count, np.int64), np.ones(count, bool)
     for i in range(n):
         part = ids[i : i + count]
-        out = out * (SENT_WORDS + 1) + part
+        out = out * (len(number) + 1) + part
         known &= part >= 0
     out[~known] = -1
     return out

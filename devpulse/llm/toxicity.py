@@ -308,6 +308,8 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without the documents predicted toxic, all columns kept."""
-    return score(docs, learn(docs, labels), "toxicity score").where(F.col("`toxicity score`") < THRESHOLD).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    kept = score(docs, learn(docs, labels), name).where(F.col(f"`{name}`") < THRESHOLD)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
