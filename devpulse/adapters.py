@@ -1,22 +1,22 @@
 """The given star-schema tables seen as surveys, activity and check logs.
 
 A customer's year is a respondent of survey A, an order is a respondent of survey B, part
-brands are technologies, and shipped lines are activity.  The brand domain is fixed (1 to 25),
-so a respondent's brands travel as one bit mask: partial aggregation then reduces them to one
-number per task and respondent, and the list text is made after the shuffle.
+brands are technologies, and shipped lines are activity.  Every line is a mention: of a brand
+that is used, wanted, or both.  A respondent's brands travel as a set of numbers, which partial
+aggregation reduces in each task; the list text is made after the shuffle.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from devpulse.operators.aggregates import grouped_distinct_counts
 from devpulse.operators.reshape import technology_rows_a, technology_rows_b
 from devpulse.operators.staging import stage_activity, stage_survey_a, stage_survey_b
 from devpulse.plans.activity import activity_yearly
 from devpulse.plans.adoption import adoption_a, adoption_b, technology_adoption
 from devpulse.plans.spine import technologies, technology_spine
 
-BRANDS = range(1, 26)
 MAPPED_BRANDS = 24
 CANONICAL_BRANDS = 20
 CATEGORIES = ["language", "database", "platform", "web_framework"]
@@ -59,35 +59,23 @@ def brand_seed(spark: SparkSession) -> DataFrame:
 
 
 def brand_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines that say something about a small part's brand: used (A) or wanted (N)."""
-    lines = (
-        load(spark, folder, "lineitem")
-        .where(F.col("l_returnflag").isin("A", "N"))
-        .select("l_orderkey", "l_partkey", "l_returnflag")
+    """What every order line says about its part's brand: used (A), wanted (N), or both (R)."""
+    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+    parts = load(spark, folder, "part").select(
+        F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")
     )
-    parts = load(spark, folder, "part").where(F.col("p_size") <= 25)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bn"))
-    return (
-        lines.join(
-            parts.select(F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")),
-            "l_partkey",
-        )
-        .select(
-            F.col("l_orderkey").alias("o_orderkey"),
-            F.when(F.col("l_returnflag") == "A", bit).alias("used"),
-            F.when(F.col("l_returnflag") == "N", bit).alias("desired"),
-        )
+    flag = F.col("l_returnflag")
+    return lines.join(parts, "l_partkey").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.when(flag != "N", F.col("bn")).alias("used"),
+        F.when(flag != "A", F.col("bn")).alias("desired"),
     )
 
 
-def named_brands(mask: str, of_category: int | None = None) -> str:
-    """The name of each brand that is in a mask, NULL for the others, in brand order."""
-    brands = [b for b in BRANDS if of_category is None or b % 4 == of_category]
-    return ", ".join(f"CASE WHEN getbit({mask}, {b}) = 1 THEN 'Brand#{b}' END" for b in brands)
-
-
-def list_text(names: str) -> str:
-    return f"nullif(concat_ws(';', {names}), '')"
+def list_text(brands: str, of_category: int | None = None) -> str:
+    """The names of a set of brands in the order of their numbers, NULL for none."""
+    own = brands if of_category is None else f"filter({brands}, b -> b % 4 = {of_category})"
+    return f"nullif(concat_ws(';', transform(array_sort({own}), b -> concat('Brand#', b))), '')"
 
 
 def respondents_a(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,15 +108,15 @@ def raw_survey_a(spark: SparkSession, folder: str, profile: bool = False) -> Dat
         said.select(*who, "used", "desired"), allowMissingColumns=True
     )
     people = rows.groupBy("response_id", "survey_year").agg(
-        F.expr("bit_or(used) AS used"),
-        F.expr("bit_or(desired) AS desired"),
+        F.collect_set("used").alias("used"),
+        F.collect_set("desired").alias("desired"),
         F.expr("max(o_totalprice) AS price"),
         F.expr("count(o_totalprice) AS n_orders"),
         F.expr("min(o_orderpriority) AS priority"),
     )
     lists = [
-        f"{list_text(named_brands(mask, k))} AS {name}_{suffix}"
-        for mask, suffix in (("used", "have_worked_with"), ("desired", "want_to_work_with"))
+        f"{list_text(brands, k)} AS {name}_{suffix}"
+        for brands, suffix in (("used", "have_worked_with"), ("desired", "want_to_work_with"))
         for k, name in enumerate(RAW_LISTS)
     ]
     survey = people.selectExpr(
@@ -161,18 +149,16 @@ def raw_survey_a(spark: SparkSession, folder: str, profile: bool = False) -> Dat
 
 def raw_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     """Survey B in its raw shape."""
-    people = survey_b_masks(spark, folder)
-    used = named_brands("used")
-    return people.selectExpr(
+    return survey_b_sets(spark, folder).selectExpr(
         "response_id",
         "survey_year",
-        f"coalesce({used}) AS primary_language",
-        f"{list_text(used)} AS languages_used",
-        f"{list_text(named_brands('desired'))} AS languages_plan_to_adopt",
+        "concat('Brand#', array_min(used)) AS primary_language",
+        f"{list_text('used')} AS languages_used",
+        f"{list_text('desired')} AS languages_plan_to_adopt",
     )
 
 
-def survey_b_masks(spark: SparkSession, folder: str) -> DataFrame:
+def survey_b_sets(spark: SparkSession, folder: str) -> DataFrame:
     who = F.col("o_orderkey").cast("string").alias("response_id")
     orders = load(spark, folder, "orders").select(who, F.year("o_orderdate").alias("survey_year"))
     said = brand_mentions(spark, folder).select(who, "used", "desired")
@@ -181,31 +167,34 @@ def survey_b_masks(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("response_id")
         .agg(
             F.max("survey_year").alias("survey_year"),
-            F.bit_or("used").alias("used"),
-            F.bit_or("desired").alias("desired"),
+            F.collect_set("used").alias("used"),
+            F.collect_set("desired").alias("desired"),
         )
         .where(F.col("survey_year").isNotNull())
     )
 
 
 def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
-    """Survey B as its files have it: one column per option."""
+    """Survey B as its files have it: one column per option.  The options are the parts' brands,
+    as many as a file has columns."""
+    found = load(spark, folder, "part").select(brand_number().alias("bn")).distinct()
+    brands = sorted(r["bn"] for r in found.collect())
 
-    def options(mask: str, prefix: str, step: int = 1) -> list[str]:
+    def options(held: str, prefix: str) -> list[Column]:
         return [
-            f"CASE WHEN getbit({mask}, {b}) = 1 THEN ' Brand#{b} ' END AS `{prefix}Brand#{b}`"
-            for b in BRANDS[::step]
+            F.when(F.array_contains(held, b), f" Brand#{b} ").alias(f"{prefix}Brand#{b}")
+            for b in brands
         ]
 
-    return survey_b_masks(spark, folder).selectExpr(
+    return survey_b_sets(spark, folder).select(
         "response_id",
         *options("used", "proglang::"),
-        *options("used", "primary_lang::", 2),
+        *options("used", "primary_lang::"),
         *options("desired", "adopt_proglang::"),
-        *options("used", "os::", 5),
-        *options("desired", "os_dev::", 5),
-        "CAST(survey_year % 5 AS STRING) AS experience",
-        "CAST(survey_year AS STRING) AS company_coders",
+        *options("used", "os::"),
+        *options("desired", "os_dev::"),
+        (F.col("survey_year") % 5).cast("string").alias("experience"),
+        F.col("survey_year").cast("string").alias("company_coders"),
     )
 
 
@@ -214,24 +203,23 @@ def raw_activity(spark: SparkSession, folder: str) -> DataFrame:
     lines = load(spark, folder, "lineitem").select(
         "l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_shipdate"
     )
-    parts = load(spark, folder, "part").where(F.col("p_brand") != "Brand#3")
+    parts = load(spark, folder, "part")
     # short fixed-width keys are grouped and shuffled; their names are made afterwards
-    counted = (
-        lines.join(
-            parts.select(F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")),
-            "l_partkey",
-        )
-        .groupBy(
-            F.trunc("l_shipdate", "month").alias("activity_month"),
-            "bn",
-            (F.col("l_linestatus") == "F").alias("pushed"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count_distinct("l_suppkey").alias("unique_actors"),
-            F.count_distinct("l_orderkey").alias("unique_repos"),
-            F.sum("l_linenumber").alias("line_numbers"),
-        )
+    said = lines.join(
+        parts.select(F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")), "l_partkey"
+    ).select(
+        F.trunc("l_shipdate", "month").alias("activity_month"),
+        "bn",
+        (F.col("l_linestatus") == "F").alias("pushed"),
+        "l_suppkey",
+        "l_orderkey",
+        "l_linenumber",
+    )
+    counted = grouped_distinct_counts(
+        said,
+        ["activity_month", "bn", "pushed"],
+        [F.count(F.lit(1)).alias("lines"), F.sum("l_linenumber").alias("line_numbers")],
+        {"unique_actors": "l_suppkey", "unique_repos": "l_orderkey"},
     )
     return counted.selectExpr(
         "activity_month",

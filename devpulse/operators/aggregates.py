@@ -188,3 +188,23 @@ def top_n_by_mean(
         .orderBy(F.desc_nulls_last("mean_value"), F.asc(key))
         .limit(n)
     )
+
+
+def grouped_distinct_counts(
+    df: DataFrame, keys: Sequence[str], others: Sequence[Column], counted: Mapping[str, str]
+) -> DataFrame:
+    """`others` and exact distinct counts (`counted`: column by name of its count) per key.
+
+    Several exact distinct counts in one aggregate make Spark copy every row once for each.  Here
+    each has an aggregate of its own, and they meet on the keys, of which there are few."""
+    grouped = keys or ["_all"]
+    rows = df if keys else df.withColumn("_all", F.lit(1))
+    (name, column), *further = counted.items()
+    out = rows.groupBy(*grouped).agg(*others, F.count_distinct(column).alias(name))
+    for name, column in further:
+        more = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in grouped]).agg(
+            F.count_distinct(column).alias(name)
+        )
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in grouped]
+        out = out.join(more, same).drop(*[f"_{k}" for k in grouped])
+    return out if keys else out.drop("_all")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devpulse.constants import ROLE_ALIASES
 from devpulse.functions import contains_any, round_half_away
+from devpulse.functions.scalars import WHITESPACE
 from devpulse.operators.reshape import explode_multiselect
 
 
@@ -26,8 +27,10 @@ def role_counts(labelled: DataFrame) -> DataFrame:
 
 
 def explode_skills(df: DataFrame, column: str) -> DataFrame:
-    """One row per listed skill, trimmed; blank parts stay, as the counts include them."""
-    return explode_multiselect(df, column, name="skill", keep_blank=True)
+    """One row per listed skill without white space around it; blank parts stay, as the counts
+    include them."""
+    rows = explode_multiselect(df, column, name="skill", keep_blank=True)
+    return rows.withColumn("skill", F.btrim("skill", F.lit(WHITESPACE)))
 
 
 def skill_shares(labelled: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:

@@ -1,7 +1,5 @@
 """Reading-side operators: header maps, wide options, event scans, load counts."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from devpulse import adapters as A
@@ -32,8 +30,11 @@ from devpulse.sources.wide import (
 
 
 def scratch(spark):
-    """Where round trips write: the shared folder, or a temporary one where none is set."""
-    return scratch_path(spark) or tempfile.mkdtemp(prefix="devpulse-")
+    """Where round trips write: a new path in the folder that all executors share."""
+    path = scratch_path(spark)
+    if path is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return path
 
 
 def as_file(spark, d):
@@ -70,10 +71,7 @@ OPTIONS_SQL = """
     with o as (
         select response_id, string_agg(p_brand, ';' order by bn) filter (where used) as used,
                string_agg(p_brand, ';' order by bn) filter (where desired) as wanted,
-               min(bn) filter (where used and bn % 2 = 1) as first_odd,
-               string_agg(p_brand, ';' order by bn) filter (where used and bn % 5 = 1) as os,
-               string_agg(p_brand, ';' order by bn) filter (where desired and bn % 5 = 1)
-                   as os_dev
+               min(bn) filter (where used) as first_used
         from (select l_orderkey, p_brand, bn, bool_or(used) as used, bool_or(desired) as desired
               from mention group by all)
         join people_b on l_orderkey = o_orderkey group by 1)
@@ -84,8 +82,8 @@ OPTIONS_SQL = """
     "load_wide_survey",
     OPTIONS_SQL
     + """select response_id, cast(2024 as integer) as survey_year,
-                'Brand#' || first_odd as primary_language, used as languages_used,
-                wanted as languages_plan_to_adopt, coalesce(os, os_dev) as operating_systems,
+                'Brand#' || first_used as primary_language, used as languages_used,
+                wanted as languages_plan_to_adopt, coalesce(used, wanted) as operating_systems,
                 cast(p.survey_year % 5 as varchar) as years_of_experience,
                 cast(p.survey_year as varchar) as team_size
          from people_b p left join o using (response_id)""",
@@ -106,7 +104,7 @@ def _(spark, d):
 @query(
     "collect_wide_multiselect",
     OPTIONS_SQL
-    + """select response_id, used as languages, coalesce(os, os_dev) as systems
+    + """select response_id, used as languages, coalesce(used, wanted) as systems
          from people_b left join o using (response_id)""",
 )
 def _(spark, d):
@@ -121,7 +119,7 @@ def _(spark, d):
 @query(
     "first_selected",
     OPTIONS_SQL
-    + """select response_id, 'Brand#' || first_odd as primary_language
+    + """select response_id, 'Brand#' || first_used as primary_language
          from people_b left join o using (response_id)""",
 )
 def _(spark, d):
@@ -293,7 +291,7 @@ def _(spark, d):
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    return scan_csv(spark, path, table.schema)
+    return scan_csv(spark, path, table.schema, multi_line=True)
 
 
 @query(
@@ -322,26 +320,32 @@ def yearly_orders(spark, d):
 @query(
     "write_full_refresh",
     """select o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) as survey_year
-       from orders where o_totalprice > 1000""",
+       from orders""",
 )
 def _(spark, d):
+    """The whole table twice: the first time with other prices and a year of its own."""
     path, orders = scratch(spark), yearly_orders(spark, d)
-    write_full_refresh(orders.where("o_totalprice <= 1000"), path, ["survey_year"])
-    write_full_refresh(orders.where("o_totalprice > 1000"), path, ["survey_year"])
+    wrong = orders.withColumn("o_totalprice", -F.col("o_totalprice")).withColumn(
+        "survey_year", F.col("survey_year") + 1
+    )
+    write_full_refresh(wrong, path, ["survey_year"])
+    write_full_refresh(orders, path, ["survey_year"])
     return spark.read.parquet(path)
 
 
 @query(
     "write_replace_years",
-    """select o_orderkey, case when year(o_orderdate) in (1996, 1997) then 0.0::double
+    """select o_orderkey, case when year(o_orderdate) = 1996 then 0.0::double
               else o_totalprice end as o_totalprice,
               cast(year(o_orderdate) as integer) as survey_year
-       from orders""",
+       from orders where year(o_orderdate) <> 1997""",
 )
 def _(spark, d):
+    """1996 gets other prices; 1997 is listed but has no new rows, so it ends up empty."""
     path, orders = scratch(spark), yearly_orders(spark, d)
     write_full_refresh(orders, path, ["survey_year"])
-    write_replace_years(orders.withColumn("o_totalprice", F.lit(0.0)), path, [1996, 1997])
+    new = orders.where("survey_year = 1996").withColumn("o_totalprice", F.lit(0.0))
+    write_replace_years(new, path, [1996, 1997])
     return spark.read.parquet(path)
 
 

@@ -125,26 +125,25 @@ def _(spark, d):
 @query(
     "full_outer_compare",
     """select coalesce(a.doc_id, b.doc_id) as doc_id, n_chars, quality
-       from (select doc_id, n_chars from documents where lang = 'en') a
+       from (select doc_id, n_chars from documents) a
        full join (select doc_id, quality from labels) b on a.doc_id = b.doc_id""",
 )
 def _(spark, d):
-    english = A.load(spark, d, "documents").where(F.col("lang") == "en")
+    docs = A.load(spark, d, "documents")
     labels = A.load(spark, d, "labels").select("doc_id", "quality")
-    return J.full_outer_compare(english.select("doc_id", "n_chars"), labels, ["doc_id"])
+    return J.full_outer_compare(docs.select("doc_id", "n_chars"), labels, ["doc_id"])
 
 
 @query(
     "full_outer_health",
     """select coalesce(a.model_name, b.model_name) as model_name, tests, hours_since_load
-       from (select source as model_name, count(*) as tests from documents
-             where lang = 'en' group by 1) a
+       from (select source as model_name, count(*) as tests from documents group by 1) a
        full join (select 'src' || (l_suppkey % 30) as model_name,
                          max(l_orderkey) as hours_since_load from lineitem group by 1) b
          on a.model_name = b.model_name""",
 )
 def _(spark, d):
-    docs = A.load(spark, d, "documents").where(F.col("lang") == "en")
+    docs = A.load(spark, d, "documents")
     tests = docs.groupBy(F.col("source").alias("model_name")).agg(
         F.count(F.lit(1)).alias("tests")
     )
@@ -346,25 +345,24 @@ def _(spark, d):
 @query(
     "order_by_rank",
     """select o_orderkey, o_orderpriority from orders order by
-           case o_orderpriority when '5-LOW' then 1 when '1-URGENT' then 2 else 3 end, o_orderkey
-       limit 1000""",
+           case o_orderpriority when '5-LOW' then 1 when '1-URGENT' then 2 else 3 end, o_orderkey""",
 )
 def _(spark, d):
     orders = A.load(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     ranks = ["5-LOW", "1-URGENT"]
-    return O.order_by_rank(orders, "o_orderpriority", ranks, ["o_orderkey"]).limit(1000)
+    return O.order_by_rank(orders, "o_orderpriority", ranks, ["o_orderkey"])
 
 
 @query(
     "order_by_abs",
     """select o_orderkey, o_totalprice - 250000 as distance from orders
-       order by abs(o_totalprice - 250000) desc, o_orderkey limit 100""",
+       order by abs(o_totalprice - 250000) desc, o_orderkey""",
 )
 def _(spark, d):
     rows = A.load(spark, d, "orders").select(
         "o_orderkey", (F.col("o_totalprice") - 250000).alias("distance")
     )
-    return O.order_by_abs(rows, "distance", [F.asc("o_orderkey")]).limit(100)
+    return O.order_by_abs(rows, "distance", [F.asc("o_orderkey")])
 
 
 @query(

@@ -229,7 +229,7 @@ def _(spark, d):
 )
 def _(spark, d):
     labelled = A.raw_survey_a(spark, d, profile=True)
-    return R.skills_text(R.role_skills_compare(labelled, SKILL, 1000))
+    return R.skills_text(R.role_skills_compare(labelled, SKILL, None))
 
 
 @query(

@@ -308,6 +308,10 @@ def _(spark, d):
 @query(
     "pivot_years",
     """select technology_name,
+              round(avg(survey_adoption_pct) filter (where year = 1995), 1) as y1995,
+              round(avg(survey_adoption_pct) filter (where year = 1996), 1) as y1996,
+              round(avg(survey_adoption_pct) filter (where year = 1997), 1) as y1997,
+              round(avg(survey_adoption_pct) filter (where year = 1998), 1) as y1998,
               round(avg(survey_adoption_pct) filter (where year = 1999), 1) as y1999,
               round(avg(survey_adoption_pct) filter (where year = 2000), 1) as y2000,
               round(avg(survey_adoption_pct) filter (where year = 2001), 1) as y2001
@@ -315,7 +319,7 @@ def _(spark, d):
 )
 def _(spark, d):
     series = adoption_series(A.adoption(spark, d))
-    return pivot_years(series, [1999, 2000, 2001], "survey_adoption_pct")
+    return pivot_years(series, range(1995, 2002), "survey_adoption_pct")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from devpulse.functions import round_half_away, to_double
+from devpulse.operators.aggregates import grouped_distinct_counts
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SLICE_GROUPS, SLICES_PER_GROUP = 32, 16
@@ -223,12 +224,14 @@ def range_and_cardinality(
     df: DataFrame, range_column: str = "activity_month", counted: Sequence[str] = ()
 ) -> DataFrame:
     """Rows, range of one column and distinct counts of others."""
-    return df.agg(
+    basics = [
         F.count(F.lit(1)).alias("total_rows"),
         F.min(range_column).alias("first_value"),
         F.max(range_column).alias("last_value"),
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in counted],
-    )
+    ]
+    if not counted:
+        return df.agg(*basics)
+    return grouped_distinct_counts(df, [], basics, {f"distinct_{c}": c for c in counted})
 
 
 def top_by_sum(df: DataFrame, key: str, column: str, n: int = 20) -> DataFrame:

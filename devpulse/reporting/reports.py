@@ -218,10 +218,10 @@ def role_skills(surveys: DataFrame, role: str, column: str, n: int = 15) -> Data
     return top_k(skill_shares(labelled, column, ["role"]), _most_listed(), n)
 
 
-def role_skills_compare(surveys: DataFrame, column: str, n: int = 12) -> DataFrame:
-    """Most listed skills of every role, in one grouped query."""
+def role_skills_compare(surveys: DataFrame, column: str, n: int | None = 12) -> DataFrame:
+    """Most listed skills of every role, in one grouped query; all skills without `n`."""
     shares = skill_shares(label_roles(surveys), column, ["role"])
-    return top_per(shares, ["role"], _most_listed(), n)
+    return shares if n is None else top_per(shares, ["role"], _most_listed(), n)
 
 
 def role_skills_trend(

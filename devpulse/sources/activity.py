@@ -17,6 +17,7 @@ from devpulse.constants import (
     WATCH_RATIO,
 )
 from devpulse.functions import round_half_away
+from devpulse.operators.aggregates import grouped_distinct_counts
 
 
 def extract_event_fields(
@@ -52,22 +53,21 @@ def monthly_events(
 
     `approximate` (a relative error) swaps the two exact distinct counts for sketches, which
     removes the shuffle of the distinct values."""
+    keys = ["activity_month", "repo_language", "event_type"]
+    counted = {"unique_actors": "actor_login", "unique_repos": "repo_name"}
+    totals = [
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum("commit_count").alias("total_commits"),
+    ]
     if approximate is None:
-        distinct = F.count_distinct
+        found = grouped_distinct_counts(fields, keys, totals, counted)
     else:
-
-        def distinct(column: str) -> Column:
-            return F.approx_count_distinct(column, approximate)
-
-    return (
-        fields.groupBy("activity_month", "repo_language", "event_type")
-        .agg(
-            F.count(F.lit(1)).alias("event_count"),
-            distinct("actor_login").alias("unique_actors"),
-            distinct("repo_name").alias("unique_repos"),
-            F.sum("commit_count").alias("total_commits"),
-        )
-        .where(F.col("event_count") >= min_count)
+        sketches = [
+            F.approx_count_distinct(c, approximate).alias(name) for name, c in counted.items()
+        ]
+        found = fields.groupBy(*keys).agg(*totals, *sketches)
+    return found.where(F.col("event_count") >= min_count).select(
+        *keys, "event_count", "unique_actors", "unique_repos", "total_commits"
     )
 
 

@@ -16,14 +16,15 @@ def scan_csv(
     schema: T.StructType | None = None,
     sep: str = ",",
     null_tokens: Sequence[str] = NULL_TOKENS,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    rejected: bool = False,
 ) -> DataFrame:
     """Quoted CSV with a header; columns are taken by position when a schema is given.
 
     Short rows are padded with NULL and long rows cut, so a wrong column count never loses a
-    row; a row whose text does not fit the type of a column is skipped.  `multi_line` allows
-    line breaks inside quotes, which makes each file one unit of work; turn it off for huge
-    files that are known to have none, and Spark splits them.
+    row.  A row whose text does not fit the type of a column is skipped; `rejected` gives these
+    rows instead, as texts, with the columns that don't fit in `misfits`.  Files are split, so a
+    line is a row; `multi_line` allows line breaks inside quotes and makes each file one task.
     """
     reader = spark.read.options(
         header=True, sep=sep, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line
@@ -37,10 +38,19 @@ def scan_csv(
     raw = texts.csv(path)
     present = {n: null_if_token(F.col(f"`{n}`"), null_tokens) for n in schema.names}
     typed = {f.name: _typed(present[f.name], f.dataType) for f in schema.fields}
-    misfit = F.lit(False)
-    for name, value in typed.items():
-        misfit = misfit | (present[name].isNotNull() & value.isNull())
-    return raw.where(~misfit).select(*[value.alias(name) for name, value in typed.items()])
+    misfits = F.filter(
+        F.array(
+            *[
+                F.when(present[name].isNotNull() & value.isNull(), F.lit(name))
+                for name, value in typed.items()
+            ]
+        ),
+        lambda name: name.isNotNull(),
+    )
+    if rejected:
+        return raw.select("*", misfits.alias("misfits")).where(F.size("misfits") > 0)
+    fits = raw.where(F.size(misfits) == 0)
+    return fits.select(*[value.alias(name) for name, value in typed.items()])
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:

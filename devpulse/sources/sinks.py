@@ -4,6 +4,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -17,14 +18,22 @@ def write_replace_years(
     df: DataFrame, path: str, years: Sequence[int], year_column: str = "survey_year"
 ) -> None:
     """Replace the rows of `years`; the folders of other years are neither read nor written.
-    A listed year without rows keeps what it had."""
-    (
-        df.where(df[year_column].isin(list(years)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(year_column)
-        .parquet(path)
-    )
+
+    A listed year without rows in `df` ends up empty.  Rows of a year that isn't listed, or of
+    none, fail the write before anything is changed."""
+    listed = df[year_column].isin(list(years))
+    if not df.where(~F.coalesce(listed, F.lit(False))).isEmpty():
+        raise ValueError(f"rows of years other than {sorted(years)}")
+    # an overwrite by partition leaves listed years without rows as they are: their folders go
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    given = {r[0] for r in df.select(year_column).distinct().collect()}
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        year_column
+    ).parquet(path)
+    for year in set(years) - given:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{year_column}={year}"), True)
 
 
 def append_results(df: DataFrame, path: str) -> None:

@@ -18,7 +18,7 @@ def test_scan_csv_keeps_every_row(spark, tmp_path, rows):
         b"3,x,y,long\r\n"
         b"4,NA,null\r\n"
     )
-    df = files.scan_csv(spark, str(path))
+    df = files.scan_csv(spark, str(path), multi_line=True)
     assert df.columns == ["id", "first name", "note.x"]
     assert rows(df) == [
         ("1", 'a "quoted" b', "line\none"),
@@ -35,7 +35,9 @@ def test_scan_csv_with_schema_and_tabs(spark, tmp_path, rows):
         "soon\tGo\t5\n2024-03-01\tGo\tmany\n2024-04-01\tGo\n"
     )
     schema = StructType.fromDDL("activity_month date, language string, n long")
-    df = files.scan_csv(spark, str(path), schema, sep="\t", multi_line=False)
+    df = files.scan_csv(spark, str(path), schema, sep="\t")
+    refused = files.scan_csv(spark, str(path), schema, sep="\t", rejected=True)
+    assert refused.count() > 0 and all(r.misfits for r in refused.collect())
     # rows that do not fit the types are skipped, short ones are kept
     assert rows(df) == [
         (dt.date(2024, 1, 1), "Go", 5),
@@ -202,9 +204,13 @@ def test_sinks(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     base = spark.createDataFrame([(2021, "a"), (2022, "b"), (2023, "c")], "survey_year int, v string")
     sinks.write_full_refresh(base, path, ["survey_year"])
-    new = spark.createDataFrame([(2021, "x"), (2022, "y"), (2023, "no")], "survey_year int, v string")
+    new = spark.createDataFrame([(2021, "x")], "survey_year int, v string")
+    with pytest.raises(ValueError):
+        sinks.write_replace_years(base, path, [2021, 2022])
+    assert rows(spark.read.parquet(path), "v") == [("a",), ("b",), ("c",)]
+    # a listed year without new rows ends up empty
     sinks.write_replace_years(new, path, [2021, 2022])
-    assert rows(spark.read.parquet(path), "v") == [("c",), ("x",), ("y",)]
+    assert rows(spark.read.parquet(path), "v") == [("c",), ("x",)]
     log = str(tmp_path / "log")
     sinks.append_results(base, log)
     sinks.append_results(base, log)
