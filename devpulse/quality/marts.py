@@ -281,8 +281,9 @@ def _counted_rows(table: str, df: DataFrame, conditions: dict[str, str]) -> Data
     )
 
 
-def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Status and failing rows of every declared and mart check of the given tables."""
+def run_checks(tables: dict[str, DataFrame], rules: bool = True) -> DataFrame:
+    """Status and failing rows of every declared check of the given tables, and of their mart
+    checks unless `rules` is off."""
     counted = []
     for table, df in tables.items():
         checks = DECLARED_CHECKS.get(table, {})
@@ -290,7 +291,7 @@ def run_checks(tables: dict[str, DataFrame]) -> DataFrame:
         if simple:
             counted.append(_counted_rows(table, df, simple))
         grouped: dict[str, Check] = {n: c for n, c in checks.items() if not c.condition}
-        if table in MART_CHECKS:
+        if rules and table in MART_CHECKS:
             grouped[f"mart_rules_{table}"] = MART_CHECKS[table]
         for name, check in grouped.items():
             failures = check(df).agg(F.count(F.lit(1)).alias("failure_count"))
