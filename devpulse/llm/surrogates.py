@@ -49,7 +49,7 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?![\d.]?\d)",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
+    "phone": r"(?<![\d+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .()-]{0,2}\d){6,12})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",

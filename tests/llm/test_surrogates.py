@@ -45,6 +45,13 @@ def test_names_keep_gender_script_and_parts(frame):
     assert parts[0] == parts[3] and parts[0].endswith("n") and parts[5].endswith("lia")
 
 
+@pytest.mark.parametrize("written", ["+44 20 7946 0958", "(555) 123-4567", "555-123-4567", "+15551234567", "+49 (30) 901820"])
+def test_telephone_numbers(frame, written):
+    (new,) = replaced(frame, f"call {written}, please")
+    assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"call {written}, please")
+    assert written not in new and new[5:7] == written[:2] or written[0] != "+"
+
+
 def test_keys_differ(frame):
     assert replaced(frame, "x@y.example.com", key="1") != replaced(frame, "x@y.example.com", key="2")
 
