@@ -16,7 +16,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.llm.common import batch, pieces, stored, text_column, utf8, words
@@ -77,17 +77,24 @@ def weighted(found: list[bytes], seeds: tuple[int, ...]) -> list[int]:
 
 def variants(prints: DataFrame) -> DataFrame:
     """`prints` (node, f, fp: which fingerprint, and it) by the variants of both segments:
-    (f, key, fp, node).  The key holds the variant's number and the segment without its bit."""
+    (key, fp, node).  A key holds f and the variant's number, eight bits in all, and the segment
+    without its bit."""
     segment = "(shiftrightunsigned(fp, 32 * (v div 32)) & 4294967295L)"
-    return prints.withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(63)))).select(
-        "f", F.expr(f"shiftleft(cast(v as long), 32) | ({segment} & ~shiftleft(1L, v % 32))").alias("key"), "fp", "node"
-    )
+    key = f"shiftleft(cast(64 * f + v as long), 32) | ({segment} & ~shiftleft(1L, v % 32))"
+    numbered = prints.withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    return numbered.select(F.expr(key).alias("key"), "fp", "node")
+
 
+def subvariants(members: DataFrame, tied: bool) -> DataFrame:
+    """Members of large groups by the variants of the other segment's halves: adds `sub`.
 
-def subvariants(members: DataFrame) -> DataFrame:
-    """Members of large groups by the variants of the other segment's halves: adds `sub`."""
-    half = "(shiftrightunsigned(fp, 32 * (1 - cast(shiftright(key, 37) as int)) + 16 * (w div 16)) & 65535L)"
-    return members.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(31)))).withColumn(
+    `tied` takes one variant of each half instead of all sixteen, the one of the key's own number:
+    fingerprints with an equal segment meet in all its 32 keys, so still under every variant."""
+    v = "cast(shiftright(key, 32) & 63 as int)"
+    other = f"(1 - {v} div 32)"
+    which = f"array({v} % 16, 16 + {v} % 16)" if tied else "sequence(0, 31)"
+    half = f"(shiftrightunsigned(fp, 32 * {other} + 16 * (w div 16)) & 65535L)"
+    return members.withColumn("w", F.explode(F.expr(which))).withColumn(
         "sub", F.expr(f"shiftleft(cast(w as long), 16) | ({half} & ~shiftleft(1L, w % 16))")
     )
 
@@ -149,21 +156,31 @@ def grouped_links(grouped: DataFrame, choose) -> DataFrame:
     return grouped.select("members").mapInArrow(run, "a long, b long")
 
 
-def candidate_links(prints: DataFrame, choose=spanning) -> DataFrame:
-    """Links between nodes whose fingerprints have a variant in common, as `choose` picks them.
+def candidate_links(prints: DataFrame, choose=spanning, tied: bool = False) -> DataFrame:
+    """Links (a, b) between nodes whose fingerprints have a variant in common: both nodes of a
+    group of two, whatever their distance, and what `choose` picks in larger groups.
 
-    Groups are counted before anything is gathered: single members go at once, groups up to GROUP
-    are gathered by their key, larger ones by the second cut."""
+    Groups are counted before anything is gathered: single members go at once, pairs are known
+    from their smaller and larger node, groups up to GROUP are gathered by their key, and larger
+    ones by the second cut."""
     indexed = variants(prints)
-    counted = indexed.groupBy("f", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stored(counted)
+    counted = indexed.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")
+    )
+    counted = stored(counted.where("n > 1"))
+    shared = counted.where("n > 2").select("key", "n")
     sent = F.broadcast(shared) if shared.count() <= SENT_GROUPS else shared
-    members = stored(indexed.join(sent, ["f", "key"]))
+    members = stored(indexed.join(sent, "key"))
     gather = F.collect_list(F.struct("fp", "node")).alias("members")
-    small = members.where(F.col("n") <= GROUP).groupBy("f", "key").agg(gather)
-    large = subvariants(members.where(F.col("n") > GROUP)).groupBy("f", "key", "sub").agg(gather)
-    both = small.select("members").union(large.where(F.size("members") > 1).select("members"))
-    return stored(grouped_links(both, choose).distinct())
+    small = members.where(F.col("n") <= GROUP).groupBy("key").agg(gather)
+    large = subvariants(members.where(F.col("n") > GROUP), tied).groupBy("key", "sub").agg(gather)
+    gathered = small.select("members").union(large.where(F.size("members") > 1).select("members"))
+    pairs = counted.where("n = 2").select("a", "b").distinct()
+    return stored(grouped_links(gathered, choose).union(pairs).distinct())
+
+
+def within(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
@@ -186,7 +203,9 @@ def near_duplicates(docs: DataFrame, n: int = 3) -> DataFrame:
     signed = stored(fingerprints(docs, n))
     first = stored(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
     prints = first.select(F.col("fp").alias("node"), F.lit(0).alias("f"), "fp")
-    roots = connected_components(candidate_links(prints))
+    # a node is its fingerprint here
+    links = candidate_links(prints).where(within(F.col("a"), F.col("b")))
+    roots = connected_components(links)
     grouped = first.join(roots, first["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
@@ -216,23 +235,24 @@ def signed_texts(docs: DataFrame) -> DataFrame:
             columns["node"] = pa.array(columns["node"])
             yield batch(schema, columns)
 
-    return keyed(docs).select("id", "text_key", text_column().alias("text")).mapInArrow(
+    return docs.select(*row_keys(), text_column().alias("text")).mapInArrow(
         run, "id long, text_key long, node long, fps array<long>"
     )
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Adds what stands for a row: its id, the largest number for null, and a key of its text."""
-    return docs.withColumns(
-        {
-            "id": F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)),
-            "text_key": F.xxhash64(text_column()),
-        }
-    )
+def row_keys() -> tuple[Column, Column]:
+    """What stands for a row: its id, the largest number for null, and a key of its text."""
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    return number.alias("id"), F.xxhash64(text_column()).alias("text_key")
 
 
 def verified(links: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links whose texts share at least SIMILAR of their distinct shingles of SHINGLE words."""
+    """The links between fingerprints in reach whose texts share at least SIMILAR of their distinct
+    shingles of SHINGLE words."""
+    near_a = nodes.select(F.col("node").alias("a"), F.col("fps").alias("fa"))
+    near_b = nodes.select(F.col("node").alias("b"), F.col("fps").alias("fb"))
+    reach = F.exists(F.zip_with("fa", "fb", within), lambda x: x)
+    links = stored(links.join(near_a, "a").join(near_b, "b").where(reach).select("a", "b"))
     wanted = stored(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
     rows = stored(wanted.join(nodes, "node").select("node", F.col("first.id"), F.col("first.text_key")))
     schema = pa.schema([("node", pa.int64()), ("parts", pa.list_(pa.int64()))])
@@ -246,7 +266,7 @@ def verified(links: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield batch(schema, {"node": b["node"], "parts": parts})
 
     # rows that repeat an id and a text give the same parts, one of which is enough
-    texts = keyed(docs).select("id", "text_key", text_column().alias("text")).join(rows, ["id", "text_key"])
+    texts = docs.select(*row_keys(), text_column().alias("text")).join(rows, ["id", "text_key"])
     sets = stored(texts.select("node", "text").mapInArrow(cut, "node long, parts array<long>").dropDuplicates(["node"]))
     answer = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -279,14 +299,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct("id", "text_key")).alias("first")
     nodes = stored(signed.groupBy("node").agg(first, F.max("fps").alias("fps")))
     prints = nodes.select("node", F.posexplode("fps").alias("f", "fp"))
-    links = verified(candidate_links(prints, central), docs, nodes)
+    links = verified(candidate_links(prints, central, tied=True), docs, nodes)
     roots = connected_components(links)
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
     counts = signed.groupBy("id", "text_key").agg(F.count("*").alias("copies"))
     kept = stored(kept.join(counts, ["id", "text_key"]))
-    out = keyed(docs.select([F.col(c) for c in docs.columns]))
-    out = out.join(kept, ["id", "text_key"])
+    # whole rows in one column, so that no column of theirs meets one of ours
+    rows = docs.select(F.struct([F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *row_keys())
+    out = rows.join(kept, ["id", "text_key"])
     if not kept.where("copies > 1").isEmpty():
         out = out.dropDuplicates(["id", "text_key"])
-    return out.select(*docs.columns)
+    return out.select("doc.*")
