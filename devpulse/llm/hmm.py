@@ -51,14 +51,7 @@ class Vocabulary(NamedTuple):
     tokens: int
     distinct: int
     class_totals: np.ndarray  # log10 of the smoothed total of each class
-
-    @property
-    def top(self) -> int:
-        return min(TOP, len(self.known))
-
-    @property
-    def symbols(self) -> int:
-        return self.top + 1 + CLASSES
+    top: int  # how many words are symbols of their own
 
     @property
     def denominator(self) -> float:
@@ -71,8 +64,8 @@ class Model(NamedTuple):
     emit: np.ndarray  # by symbol and state
 
 
-def word_class(word: bytes) -> int:
-    return xxhash.xxh32_intdigest(word[-3:]) % CLASSES
+def word_class(word: bytes, classes: int) -> int:
+    return xxhash.xxh32_intdigest(word[-3:]) % classes
 
 
 def word_key(word: bytes) -> int:
@@ -86,13 +79,13 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), held.alias("held_out"))
 
 
-def count_words(training: DataFrame) -> DataFrame:
+def count_words(training: DataFrame, classes: int = CLASSES) -> DataFrame:
     """(word, class, key, c): every distinct word of the training texts.  Tasks count first."""
     schema = pa.schema([("word", pa.binary()), ("class", pa.int32()), ("key", pa.int64()), ("c", pa.int64())])
 
     def rows(counts: Counter):
         found = list(counts)
-        columns = {"word": found, "class": [word_class(w) for w in found]}
+        columns = {"word": found, "class": [word_class(w, classes) for w in found]}
         columns |= {"key": [word_key(w) for w in found], "c": list(counts.values())}
         return batch(schema, columns)
 
@@ -125,15 +118,17 @@ def commonest(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray, np
     return [named[i] for i in order], c[order].astype(np.int64), classes[order].astype(np.int64)
 
 
-def learn_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
+def learn_vocabulary(
+    counts: DataFrame, documents: int, top: int = TOP, sent: int = KNOWN, classes: int = CLASSES
+) -> Vocabulary:
     total = counts.agg(F.sum("c"), F.count("*")).first()
-    known, c, classes = commonest(counts, KNOWN)
-    sums = np.zeros((CLASSES, 2))
+    known, c, class_of = commonest(counts, sent)
+    sums = np.zeros((classes, 2))
     for r in counts.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
         sums[r["class"]] = r["c"], r["v"]
     # the commonest words are symbols of their own
-    top = slice(0, TOP)
-    np.subtract.at(sums, classes[top], np.column_stack([c[top], np.ones(len(c[top]))]))
+    own = c[:top]
+    np.subtract.at(sums, class_of[:top], np.column_stack([own, np.ones(len(own))]))
     return Vocabulary(
         known,
         c,
@@ -141,6 +136,7 @@ def learn_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
         int(total[0] or 0) + documents,
         total[1] + (documents > 0),
         np.log10(sums[:, 0] + ADDED * (sums[:, 1] + 1)),
+        len(own),
     )
 
 
@@ -155,11 +151,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches):
         v = sent.value
-        top = v.top
+        top, classes = v.top, len(v.class_totals)
         place = {w: i for i, w in enumerate(v.known)}
         logs = np.log10(v.counts + ADDED)
         end = float(np.log10(v.ends + ADDED))
-        class_of = np.array([word_class(w) for w in v.known[top:]], np.int64)
+        class_of = np.array([word_class(w, classes) for w in v.known[top:]], np.int64)
         symbol = np.concatenate([np.arange(top), top + 1 + class_of]).astype(np.int32)
         # of words in classes: the logarithm of the share of the class
         share = logs.copy()
@@ -176,15 +172,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 inside = at[at >= 0]
                 ids[:-1][at >= 0] = symbol[inside]
                 rare = [found[i] for i in unknown]
-                classes = np.array([word_class(w) for w in rare], np.int64)
-                ids[:-1][unknown] = top + 1 + classes
+                of_rare = np.array([word_class(w, classes) for w in rare], np.int64)
+                ids[:-1][unknown] = top + 1 + of_rare
                 rows["doc_id"].append(doc)
                 rows["held_out"].append(held)
                 rows["n_tokens"].append(len(ids))
                 rows["ids"].append(ids)
                 rows["known"].append(len(inside) + (v.ends > 0))
                 rows["base"].append(float(logs[inside].sum()) + end)
-                rows["classed"].append(float(share[inside].sum() - v.class_totals[classes].sum()))
+                rows["classed"].append(float(share[inside].sum() - v.class_totals[of_rare].sum()))
                 rows["rare"].append([word_key(w) for w in rare])
             yield batch(schema, rows)
 
@@ -358,12 +354,14 @@ def score(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary, model:
     )
 
 
-def learn_and_score(docs: DataFrame) -> DataFrame:
+def learn_and_score(
+    docs: DataFrame, top: int = TOP, sent: int = KNOWN, classes: int = CLASSES
+) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = prepared(docs)
     training = docs.where("not held_out")
-    counts = stored(count_words(training))
-    vocabulary = learn_vocabulary(counts, training.count())
+    counts = stored(count_words(training, classes))
+    vocabulary = learn_vocabulary(counts, training.count(), top, sent, classes)
     encoded = stored(encode(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     learning = encoded.where("not held_out").select("ids", "row")
     some = learning.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("ids").toArrow()["ids"]
