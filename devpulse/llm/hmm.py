@@ -364,7 +364,9 @@ def learn_and_score(
     vocabulary = learn_vocabulary(counts, training.count(), top, sent, classes)
     encoded = stored(encode(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     learning = encoded.where("not held_out").select("ids", "row")
-    some = learning.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("ids").toArrow()["ids"]
+    # the rows are chosen by their numbers alone, so that no task gathers texts to choose from
+    some = learning.select("row").orderBy(F.xxhash64("row"), "row").limit(SAMPLE)
+    some = learning.join(F.broadcast(some), "row").toArrow().sort_by("row")["ids"]
     model = from_sample([x.values.to_numpy() for x in some], vocabulary)
     for _ in range(ROUNDS):
         model = corpus_round(learning, model, corpus_shares(vocabulary))
