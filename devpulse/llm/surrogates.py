@@ -53,7 +53,8 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "name": rf"(?<!\p{{L}})(?:(?:{TITLE})\.? (?:{NAME} )?{NAME}|(?:{KNOWN}) {NAME})",
+    # the look ahead saves trying every title and name at every letter
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{TITLE})\.? (?:{NAME} )?{NAME}|(?:{KNOWN}) {NAME})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 PARTS_OF_NAME = rf"^(?:({TITLE})\.? )?(?:({NAME}) )?({NAME})$"
