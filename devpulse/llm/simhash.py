@@ -75,16 +75,11 @@ def variants(prints: DataFrame) -> DataFrame:
     return numbered.select(F.expr(key).alias("key"), "fp", "node")
 
 
-def subvariants(members: DataFrame, tied: bool) -> DataFrame:
-    """Members of large groups by the variants of the other segment's halves: adds `sub`.
-
-    `tied` takes one variant of each half instead of all sixteen, the one of the key's own number:
-    fingerprints with an equal segment meet in all its 32 keys, so still under every variant."""
-    v = "cast(shiftright(key, 32) & 63 as int)"
-    other = f"(1 - {v} div 32)"
-    which = f"array({v} % 16, 16 + {v} % 16)" if tied else "sequence(0, 31)"
+def subvariants(members: DataFrame) -> DataFrame:
+    """Members of large groups by the variants of the other segment's halves: adds `sub`."""
+    other = "(1 - cast(shiftright(key, 32) & 63 as int) div 32)"
     half = f"(shiftrightunsigned(fp, 32 * {other} + 16 * (w div 16)) & 65535L)"
-    return members.withColumn("w", F.explode(F.expr(which))).withColumn(
+    return members.withColumn("w", F.explode(F.sequence(F.lit(0), F.lit(31)))).withColumn(
         "sub", F.expr(f"shiftleft(cast(w as long), 16) | ({half} & ~shiftleft(1L, w % 16))")
     )
 
@@ -146,7 +141,7 @@ def grouped_links(grouped: DataFrame, choose) -> DataFrame:
     return grouped.select("members").mapInArrow(run, "a long, b long")
 
 
-def candidate_links(prints: DataFrame, choose=spanning, tied: bool = False) -> DataFrame:
+def candidate_links(prints: DataFrame, choose=spanning) -> DataFrame:
     """Links (a, b) between nodes whose fingerprints have a variant in common: both nodes of a
     group of two, whatever their distance, and what `choose` picks in larger groups.
 
@@ -163,7 +158,7 @@ def candidate_links(prints: DataFrame, choose=spanning, tied: bool = False) -> D
     members = stored(indexed.join(sent, "key"))
     gather = F.collect_list(F.struct("fp", "node")).alias("members")
     small = members.where(F.col("n") <= GROUP).groupBy("key").agg(gather)
-    large = subvariants(members.where(F.col("n") > GROUP), tied).groupBy("key", "sub").agg(gather)
+    large = subvariants(members.where(F.col("n") > GROUP)).groupBy("key", "sub").agg(gather)
     gathered = small.select("members").union(large.where(F.size("members") > 1).select("members"))
     pairs = counted.where("n = 2").select("a", "b").distinct()
     return stored(grouped_links(gathered, choose).union(pairs).distinct())
