@@ -27,8 +27,6 @@ GROUP = 512
 # groups of several members up to this many (20 bytes each) are sent to all tasks; beyond, the
 # index is shuffled a second time to meet them
 SENT_GROUPS = 1_000_000
-# up to here a group's verified links need no centre
-FEW = 8
 # the pipeline's near copies
 SIMILAR = 0.8
 SHINGLE = 5
@@ -84,10 +82,6 @@ def subvariants(members: DataFrame) -> DataFrame:
     )
 
 
-def near(fps: np.ndarray, at: int, distance: int) -> np.ndarray:
-    return np.flatnonzero(np.bitwise_count(fps ^ fps[at]) <= distance)
-
-
 def spanning(fps: np.ndarray, nodes: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
     """Links within the distance that connect all that such links connect: one a member at most.
     Walks from member to member, each asking only for those not yet reached."""
@@ -105,26 +99,8 @@ def spanning(fps: np.ndarray, nodes: np.ndarray, distance: int = DISTANCE) -> li
     return links
 
 
-def central(fps: np.ndarray, nodes: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Pairs worth comparing in a group: all of a few members; of more, each member with the one
-    nearest the bitwise majority, and neighbours in the order of distance from it."""
-    if len(fps) <= FEW:
-        return [
-            (int(nodes[i]), int(nodes[j]))
-            for i in range(len(fps))
-            for j in near(fps, i, distance)
-            if i < j
-        ]
-    every = np.unpackbits(fps.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    centre = np.packbits(2 * every.sum(axis=0) > len(fps)).view(">u8").astype(np.uint64)[0]
-    order = np.argsort(np.bitwise_count(fps ^ centre), kind="stable")
-    hub = int(nodes[order[0]])
-    links = [(hub, int(nodes[i])) for i in order[1:]]
-    return links + [(int(nodes[i]), int(nodes[j])) for i, j in zip(order[1:], order[2:], strict=False)]
-
-
-def grouped_links(grouped: DataFrame, choose) -> DataFrame:
-    """(a, b) of the links that `choose` finds in each row's `members` (structs of fp and node)."""
+def grouped_links(grouped: DataFrame) -> DataFrame:
+    """(a, b) of the links that connect each row's `members` (structs of fp and node)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -135,15 +111,15 @@ def grouped_links(grouped: DataFrame, choose) -> DataFrame:
             fps = flat.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             nodes = flat.field("node").to_numpy(zero_copy_only=False)
             for s, e in zip(starts, starts[1:], strict=False):
-                links.update(choose(fps[s:e], nodes[s:e]))
+                links.update(spanning(fps[s:e], nodes[s:e]))
             yield batch(schema, {"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
     return grouped.select("members").mapInArrow(run, "a long, b long")
 
 
-def candidate_links(prints: DataFrame, choose=spanning) -> DataFrame:
+def candidate_links(prints: DataFrame) -> DataFrame:
     """Links (a, b) between nodes whose fingerprints have a variant in common: both nodes of a
-    group of two, whatever their distance, and what `choose` picks in larger groups.
+    group of two, whatever their distance, and what `spanning` picks in larger groups.
 
     Groups are counted before anything is gathered: single members go at once, pairs are known
     from their smaller and larger node, groups up to GROUP are gathered by their key, and larger
@@ -161,7 +137,7 @@ def candidate_links(prints: DataFrame, choose=spanning) -> DataFrame:
     large = subvariants(members.where(F.col("n") > GROUP)).groupBy("key", "sub").agg(gather)
     gathered = small.select("members").union(large.where(F.size("members") > 1).select("members"))
     pairs = counted.where("n = 2").select("a", "b").distinct()
-    return stored(grouped_links(gathered, choose).union(pairs).distinct())
+    return stored(grouped_links(gathered).union(pairs).distinct())
 
 
 def within(a: Column, b: Column) -> Column:
