@@ -105,14 +105,13 @@ def grouped_links(grouped: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in pieces(batches, 64):
-            links: set[tuple[int, int]] = set()
             members = b["members"]
             starts, flat = members.offsets.to_pylist(), members.values
             fps = flat.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             nodes = flat.field("node").to_numpy(zero_copy_only=False)
             for s, e in zip(starts, starts[1:], strict=False):
-                links.update(spanning(fps[s:e], nodes[s:e]))
-            yield batch(schema, {"a": [x[0] for x in links], "b": [x[1] for x in links]})
+                links = spanning(fps[s:e], nodes[s:e])
+                yield batch(schema, {"a": [x[0] for x in links], "b": [x[1] for x in links]})
 
     return grouped.select("members").mapInArrow(run, "a long, b long")
 
