@@ -1,8 +1,7 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-The document frequency of every n-gram of the test items is counted over the whole corpus.  In
-each window of an item's n-grams the rarest is a seed, so seeds lie all along every item however
-common its words are.  A document that holds a seed is aligned with the item around the places
+Every n-gram of a test item is a seed, however common it is, so that an edited copy is found by any
+n words in a row that the edits left.  A document that holds a seed is aligned with the item around the places
 where their diagonals agree, by Smith-Waterman over words: the score counts matching words less
 changes and gaps, and `share` is that score against the item's own.
 
@@ -23,8 +22,6 @@ from pyspark.sql import functions as F
 from devpulse.llm.common import batch, pieces, stored, text_column, utf8, words
 
 N = 3
-# n-grams in a row of which one is a seed
-WINDOW = 4
 # score of a match, of a changed word, of a gap of one word
 MATCH, CHANGE, GAP = 2, -1, -1
 SHARE = 0.5
@@ -142,36 +139,13 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "item_id long, words array<binary>")
 
 
-def frequencies(docs: DataFrame, wanted: np.ndarray, number: dict[bytes, int]) -> dict[int, int]:
-    """The number of documents that hold each of the wanted n-grams, of which there are at most as
-    many as words in a block of test items."""
-    sent = docs.sparkSession.sparkContext.broadcast((wanted, number))
-    schema = pa.schema([("gram", pa.int64()), ("df", pa.int64())])
-
-    def run(batches):
-        wanted, number = sent.value
-        counts = np.zeros(len(wanted), np.int64)
-        for b in pieces(batches):
-            for data in utf8(b["text"]):
-                counts[np.unique(among(grams(clean_words(data), number), wanted)[1])] += 1
-        some = np.flatnonzero(counts)
-        yield batch(schema, {"gram": pa.array(wanted[some]), "df": pa.array(counts[some])})
-
-    counted = docs.select(text_column().alias("text")).mapInArrow(run, "gram long, df long")
-    return {r["gram"]: r["df"] for r in counted.groupBy("gram").agg(F.sum("df").alias("df")).collect()}
-
-
-def seeds(items: list[np.ndarray], df: dict[int, int], window: int = WINDOW) -> dict[int, list[tuple[int, int]]]:
-    """By n-gram, the (item, place) it is a seed of: the rarest of each window, the first of ties."""
-    out: dict[int, set[tuple[int, int]]] = defaultdict(set)
+def seeds(items: list[np.ndarray]) -> dict[int, list[tuple[int, int]]]:
+    """By n-gram, the (item, place) it stands at."""
+    out: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for i, item in enumerate(items):
-        g = item.tolist()
-        for start in range(max(1, len(g) - window + 1)):
-            part = range(start, min(len(g), start + window))
-            if part:
-                place = min(part, key=lambda p: (df.get(g[p], 0), p))
-                out[g[place]].add((i, place))
-    return {k: sorted(v) for k, v in out.items()}
+        for place, g in enumerate(item.tolist()):
+            out[g].append((i, place))
+    return dict(out)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
@@ -179,7 +153,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     by at least `share` of the item's own score; start and end count the document's words.
 
     Test items are cut into blocks of a bounded number of words, one broadcast each, and the
-    corpus is read twice a block: to count n-grams, and to seed and align."""
+    corpus is read once a block."""
     out = None
     for block in blocks(stored(item_words(benchmark))):
         found = aligned(docs, block, share)
@@ -205,8 +179,7 @@ def blocks(items: DataFrame) -> Iterator[list]:
 def aligned(docs: DataFrame, items: list[dict], share: float) -> DataFrame:
     number = {w: i for i, w in enumerate(dict.fromkeys(w for item in items for w in item["words"]), 1)}
     own = [grams(item["words"], number) for item in items]
-    wanted = np.unique(np.concatenate([np.array([], np.int64), *own]))
-    index = seeds(own, frequencies(docs, wanted, number))
+    index = seeds(own)
     sent = docs.sparkSession.sparkContext.broadcast((items, number, index))
     fields = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("share", pa.float64())]
     schema = pa.schema([*fields, ("start", pa.int64()), ("end", pa.int64())])

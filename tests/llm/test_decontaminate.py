@@ -69,3 +69,20 @@ def test_odd_rows(spark, odd):
     left = without_leaks(odd, bench)
     assert left.columns == odd.columns and left.count() == odd.count() - 3
     assert contaminated(odd, bench.limit(0)).count() == 0 and contaminated(odd.limit(0), bench).count() == 0
+
+
+def test_edits_all_along_an_item(spark, frame):
+    """Copies with every fifth or sixth word changed, the item's other words in other documents."""
+    rng = random.Random(9)
+    items = [[f"w{rng.randrange(400)}" for _ in range(42)] for _ in range(6)]
+    docs = []
+    for i, item in enumerate(items):
+        for step in (5, 6):
+            text = [f"x{rng.randrange(400)}" for _ in range(30)]
+            text[10:10] = ["edited" if at % step == step - 1 else w for at, w in enumerate(item)]
+            docs.append((10 * i + step, " ".join(text)))
+        docs.append((10 * i, " ".join(item)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    want = {(d, i) for d, t in docs for i, w in enumerate(items) if table(w, t.split()) >= 0.5 * 2 * len(w)}
+    assert {(r.doc_id, r.item_id) for r in contaminated(frame(docs), bench).collect()} == want
+    assert want >= {(10 * i + at, i) for i in range(6) for at in (0, 5, 6)}
