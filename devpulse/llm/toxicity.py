@@ -1,6 +1,6 @@
 """Toxicity of whole texts, written plainly or disguised.
 
-Disguised words (letters replaced by digits and signs, letters set apart, letters repeated) are
+Disguised words (letters replaced by digits and signs, letters or pieces set apart, letters repeated) are
 restored by a Viterbi search: the characters give a lattice of letters that may have been meant,
 with costs of a noisy channel, and a model of three characters in a row finds the likeliest word.
 The restored text is then scored: each word counts by its most telling feature (itself or how it
@@ -45,8 +45,12 @@ MEANT = {
 }
 APART = ".-_*~/"
 EDGES = "\"'.,;:?()[]{}<>%&#*-_=/\\~^`"
-STRANGE = re.compile(r"[0-9@$!|+(*#]|([^\W\d_])\1\1|[^\W\d_][.\-_*~/][^\W\d_]")
+STRANGE = re.compile(r"[0-9@$!|+(*#]|([^\W\d_])\1|[^\W\d_][.\-_*~/][^\W\d_]")
 LETTER = re.compile(r"[^\W\d_]")
+# letters of which no two in a row are equal, which can only have been meant as they are
+UNDISGUISED = re.compile(r"(?:([^\W\d_])(?!\1))*\Z")
+# most characters of a piece of a word, and fewest of a word, that is set apart
+PIECE, WHOLE = 2, 4
 # costs of the channel, as logarithms
 REPLACED, GUESSED, DROPPED, SHORTENED = -0.7, -1.6, -0.2, -1.5
 
@@ -86,6 +90,8 @@ def options(char: str, length: int) -> list[tuple[str, float]]:
 
 def restore(word: str, speller: Speller) -> str:
     """The likeliest word behind a disguised one."""
+    if UNDISGUISED.match(word):
+        return word
     logs = speller.logs
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for char, run in groupby(word):
@@ -104,15 +110,14 @@ def restore(word: str, speller: Speller) -> str:
     return max((s + logs[a, b, 0], t) for (a, b), (s, t) in paths.items())[1]
 
 
-def spelled_apart(found: list[str]) -> list[str]:
-    """Words that are set letter by letter: runs of three or more single characters, joined."""
-    out = []
-    for single, run in groupby(found, key=lambda w: len(w) == 1):
-        if single:
-            run = list(run)
-            if len(run) > 2:
-                out.append("".join(run))
-    return out
+def short(word: bytes) -> bool:
+    return len(word) <= PIECE or (len(word) <= 4 * PIECE and not word.isascii() and len(word.decode()) <= PIECE)
+
+
+def spelled_apart(found: list[bytes]) -> list[str]:
+    """Words that are set letter by letter or in short pieces: runs of pieces, joined."""
+    runs = (b"".join(run).decode() for apart, run in groupby(found, key=short) if apart)
+    return [joined for joined in runs if len(joined) >= WHOLE]
 
 
 def features(word: str) -> list[str]:
@@ -140,9 +145,9 @@ def weight_of(word: str, judge: Judge) -> tuple[str, float] | None:
 
 
 def hidden_inside(joined: str, judge: Judge) -> tuple[str, float] | None:
-    """The most telling whole word inside letters that stood alone."""
+    """The most telling whole word inside letters that stood apart."""
     word = restore(joined, judge.speller)
-    inside = (word[s:e] for s in range(len(word)) for e in range(s + 4, min(len(word), s + 24) + 1))
+    inside = (word[s:e] for s in range(len(word)) for e in range(s + WHOLE, min(len(word), s + 24) + 1))
     return max(((w, judge.weights[w]) for w in inside if w in judge.weights), key=lambda x: x[1], default=None)
 
 
@@ -151,7 +156,8 @@ class Reader:
 
     def __init__(self, judge: Judge):
         self.judge = judge
-        self.seen: dict[bytes, tuple[str, float] | None] = {}
+        # words as bytes, joined pieces as text
+        self.seen: dict[bytes | str, tuple[str, float] | None] = {}
 
     def telling(self, data: bytes) -> dict[str, float]:
         """The telling features of a text."""
@@ -164,11 +170,12 @@ class Reader:
                 seen[w] = weight_of(w.decode().lower(), self.judge)
             if seen[w]:
                 out[seen[w][0]] = seen[w][1]
-        if sum(map(len, found)) < 8 * len(found):  # some words are short
-            for joined in spelled_apart([w.decode() for w in found]):
-                got = hidden_inside(joined.lower(), self.judge)
-                if got:
-                    out[got[0]] = got[1]
+        for joined in spelled_apart(found):
+            joined = joined.lower()
+            if joined not in seen:
+                seen[joined] = hidden_inside(joined, self.judge)
+            if seen[joined]:
+                out[seen[joined][0]] = seen[joined][1]
         return out
 
     def inputs(self, data: bytes) -> tuple[float, ...]:

@@ -71,3 +71,13 @@ def test_odd_rows(spark, odd):
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
     assert without_toxic(odd, labels.limit(0)).count() == odd.count()
     assert scored(odd.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize(
+    "written",
+    ["i d i o t https://example.com/" + "a-long-path/" * 9, "Ж" * 30 + " s t u p i d", "iidiot", "sttupid", "st up id", "you mo ro n ok", "lo s er"],
+)
+def test_more_disguises_are_found(frame, texts, labels, written):
+    reader = Reader(learn(frame([(i, t) for i, t, _ in texts]), labels))
+    assert reader.score(written.encode()) > 0.7
+    assert reader.score(b"it is as we do in my book of tall letters") < 0.3
