@@ -8,7 +8,10 @@ check digit, IBANs their country, private addresses their network, addresses of
 domain, names keep gender, script and capitals, and parts of a name agree with the whole.
 
 All distinct entities pass a collision check: no two of a kind share a surrogate and none equals
-another's original; losers are hashed again until none is left.
+another's original; losers are hashed again until none is left.  What they choose from grows with
+the attempts, so that there is an end: names and the local parts of e-mail addresses get longer,
+and a private address that finds no place in its network in `TRIES` attempts leaves it, for
+10.0.0.0/8 or, from that one and 127.0.0.0/8, for the reserved 240.0.0.0/4.
 
 Everything is a Spark SQL expression.  Documents without entities aren't shuffled.  Null texts
 stay null, empty ones empty; null ids stay null; repeated rows get the same text; an empty table
@@ -20,6 +23,10 @@ from pyspark.sql import functions as F
 from devpulse.llm.common import stored
 
 KEY = "devpulse surrogates"
+# attempts after which names and e-mail addresses get longer by one syllable or letter, and those
+# after which a private address leaves its network
+LONGER = 4
+TRIES = 16
 
 # fixed values: titles and given names by gender, and what names are made of by script
 TITLES = {
@@ -97,17 +104,22 @@ def luhn(digits: str, from_right: int) -> str:
 
 def by_syllables(h: str, script: str, kind: str) -> str:
     array = "array(" + ", ".join(f"'{s}'" for s in SYLLABLES[script]) + ")"
-    parts = [f"{array}[{byte_of(h, str(i))} % 32]" for i in range(4 if kind == "surname" else 3)]
+    last = f"{3 if kind == 'surname' else 2} + cast(attempt div {LONGER} as int)"
+    parts = f"transform(sequence(0, {last}), i -> {array}[{byte_of(h, 'i')} % 32])"
     ending = "''" if kind == "surname" else f"'{ENDINGS[script][kind]}'"
-    return f"concat({', '.join(parts)}, {ending})"
+    return f"concat(array_join({parts}, ''), {ending})"
 
 
 def surrogate() -> Column:
-    """The surrogate of `norm`, of `kind`, by the hash `h` and, for domains, `hd`."""
+    """The surrogate of `norm`, of `kind`, by the hash `h` of this `attempt` and, for domains, `hd`."""
+    local = f"concat(`local`, repeat('a', cast(attempt div {LONGER} as int)))"
     check = f"cast((10 - {luhn('body', 0)} % 10) % 10 as string)"
     cases = {
-        "email": f"concat({shaped(chr(96) + 'local' + chr(96), 'h')}, '@', {shaped('host', 'hd')}, '.example')",
+        "email": f"concat({shaped(local, 'h')}, '@', {shaped('host', 'hd')}, '.example')",
         "ip": f"""array_join(transform(split(norm, '[.]'), (o, i) -> case
+            when attempt >= {TRIES} and norm rlike '^(10|127)[.]' and i = 0 then cast(240 + {byte_of('h', 'i')} % 15 as string)
+            when attempt >= {TRIES} and norm rlike '^(192[.]168|172[.](1[6-9]|2[0-9]|3[01]))[.]' and i = 0 then '10'
+            when attempt >= {TRIES} and i = 1 then cast(1 + {byte_of('h', 'i')} % 254 as string)
             when norm rlike '^(10|127)[.]' and i = 0 then o
             when norm rlike '^(192[.]168|172[.](1[6-9]|2[0-9]|3[01]))[.]' and i < 2 then o
             when i = 0 then cast(11 + {byte_of('h', 'i')} % 110 as string)

@@ -82,3 +82,16 @@ def test_odd_rows(odd):
     twice = odd.withColumn("text", surrogates.F.lit("x@y.example.com")).withColumn("kinds", surrogates.F.lit(3))
     rows = replace_entities(twice).collect()
     assert len(rows) == odd.count() and len({r.text for r in rows}) == 1 and rows[0].kinds == ["email"]
+
+
+def test_more_entities_than_short_surrogates(spark, monkeypatch):
+    """Names, letters of one domain and addresses of one network that outnumber their first choice."""
+    monkeypatch.setattr(surrogates, "TRIES", 2)
+    names = spark.range(33_500).selectExpr("'n latin' as kind", "concat('given', id) as norm")
+    mails = spark.range(40).selectExpr("'email' as kind", "concat('a@x.', lpad(conv(id, 10, 26), 2, 'a')) as norm")
+    hosts = spark.range(33_500).selectExpr("'ip' as kind", "concat_ws('.', '192.168', 1 + id div 254, 1 + id % 254) as norm")
+    rows = assign(names.union(mails).union(hosts)).collect()
+    made = {(r.kind, r.surrogate) for r in rows}
+    assert len(rows) == len(made) == 33_500 + 40 + 33_500
+    assert not made & {(r.kind, r.norm) for r in rows}
+    assert all(re.fullmatch(r"(192\.168|10\.\d+)\.\d+\.\d+", r.surrogate) for r in rows if r.kind == "ip")
