@@ -207,17 +207,29 @@ def common_buckets(docs: DataFrame) -> np.ndarray:
     return np.array(sorted(r["at"] for r in found), np.int64)
 
 
-def prefix(parts: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first shingles in an order that all texts share, common ones last: so many that two texts
+def prefix(parts: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int]:
+    """(keys, how many of them aren't common): the first shingles in an order that all texts share, common ones last: so many that two texts
     which share SIMILAR of their shingles have one of these in common.
 
     Such texts share at least SIMILAR of either's shingles, and what is left out of a prefix is
     fewer than that, so the first shingle in order that both have is in both prefixes."""
     if not len(parts):
-        return parts
+        return parts, 0
     last = np.isin(bucket(parts), common)
     size = len(parts) - int(np.ceil(SIMILAR * len(parts) - 1e-9)) + 1
-    return np.concatenate([parts[~last], parts[last]])[:size]
+    return np.concatenate([parts[~last], parts[last]])[:size], min(size, int((~last).sum()))
+
+
+def most_shared(one: np.ndarray, two: np.ndarray, rare: tuple[int, int], sizes: tuple[int, int]) -> int:
+    """The most shingles that two texts can share, by their prefixes: what these have in common up
+    to the end of the one that ends first, and all the rest of the smaller text from there."""
+    parts = [(one[: rare[0]], one[rare[0] :]), (two[: rare[1]], two[rare[1] :])]
+    ends = [(len(later) > 0, int((later if len(later) else first)[-1])) for first, later in parts]
+    late, end = min(ends)
+    # how many of either text are up to there
+    seen = [len(f) + np.searchsorted(c, end, "right") if late else np.searchsorted(f, end, "right") for f, c in parts]
+    both = len(np.intersect1d(one[: seen[0]], two[: seen[1]], assume_unique=True))
+    return both + int(min(sizes[0] - seen[0], sizes[1] - seen[1]))
 
 
 def tally(parts: np.ndarray) -> bytes:
@@ -239,12 +251,13 @@ def may_be_similar(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, others:
 
 
 def signed_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_key, node, size, tally, keys): `node` stands for the words of a text, `text_key`
-    for the text, `keys` are the prefix of its shingles, of which it has `size`."""
+    """(id, text_key, node, size, tally, rare, keys): `node` stands for the words of a text,
+    `text_key` for the text, `keys` are the prefix of its shingles, of which it has `size`; the
+    first `rare` of them aren't common."""
     sent = docs.sparkSession.sparkContext.broadcast(common_buckets(docs))
     schema = pa.schema(
         [("id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("size", pa.int64())]
-        + [("tally", pa.binary()), ("keys", pa.list_(pa.int64()))]
+        + [("tally", pa.binary()), ("rare", pa.int64()), ("keys", pa.list_(pa.int64()))]
     )
 
     def run(batches):
@@ -252,18 +265,20 @@ def signed_texts(docs: DataFrame) -> DataFrame:
         for b in pieces(batches):
             found = [words(x) for x in utf8(b["text"])]
             parts = [shingle_numbers(w) for w in found]
+            keys = [prefix(x, common) for x in parts]
             columns = {
                 "id": b["id"],
                 "text_key": b["text_key"],
                 "node": pa.array(np.array([xxhash.xxh64_intdigest(b" ".join(w)) for w in found], np.uint64).view(np.int64)),
                 "size": [len(x) for x in parts],
                 "tally": [tally(x) for x in parts],
-                "keys": [prefix(x, common).view(np.int64) for x in parts],
+                "rare": [n for _, n in keys],
+                "keys": [x.view(np.int64) for x, _ in keys],
             }
             yield batch(schema, columns)
 
     return docs.select(*row_keys(), text_column().alias("text")).mapInArrow(
-        run, "id long, text_key long, node long, size long, tally binary, keys array<long>"
+        run, "id long, text_key long, node long, size long, tally binary, rare long, keys array<long>"
     )
 
 
@@ -274,7 +289,7 @@ def row_keys() -> tuple[Column, Column]:
 
 
 def possible(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links that the tallies do not rule out."""
+    """The links that neither the sizes nor the tallies nor the prefixes rule out."""
     near_a = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("tally").alias("ta"))
     near_b = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("tally").alias("tb"))
     # sizes alone rule out many, and cost nothing
@@ -288,7 +303,24 @@ def possible(links: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep = may_be_similar(tallies(b["ta"]), tallies(b["tb"]), *sizes)
                 yield b.select(["a", "b"]).filter(pa.array(keep))
 
-    return joined.select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(run, "a long, b long")
+    sized = stored(joined.select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(run, "a long, b long"))
+
+    # then the prefixes, which are longer and rule out more
+    near_a = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("rare").alias("ra"), F.col("keys").alias("ka"))
+    near_b = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("rare").alias("rb"), F.col("keys").alias("kb"))
+
+    def look(batches):
+        for b in pieces(batches, 64):
+            sizes = list(zip(b["sa"].to_pylist(), b["sb"].to_pylist(), strict=True))
+            rare = list(zip(b["ra"].to_pylist(), b["rb"].to_pylist(), strict=True))
+            keep = []
+            for i, (one, two) in enumerate(zip(b["ka"], b["kb"], strict=True)):
+                keys = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (one, two)]
+                most = most_shared(*keys, rare[i], sizes[i])
+                keep.append(most >= SIMILAR * (sum(sizes[i]) - most) - 1e-9)
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sized.join(near_a, "a").join(near_b, "b").select("a", "b", "sa", "sb", "ra", "rb", "ka", "kb").mapInArrow(look, "a long, b long")
 
 
 def verified(links: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -409,7 +441,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     edit; groups are what links connect, and texts of the same words."""
     signed = stored(signed_texts(docs))
     first = F.min(F.struct("id", "text_key")).alias("first")
-    same = [F.max(c).alias(c) for c in ("size", "tally", "keys")]
+    same = [F.max(c).alias(c) for c in ("size", "tally", "rare", "keys")]
     nodes = stored(signed.groupBy("node").agg(first, *same))
     roots = connected_components(similar_links(docs, nodes))
     grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

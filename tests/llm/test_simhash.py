@@ -151,3 +151,16 @@ def test_families_in_one_group(frame, monkeypatch, most):
                 old, new = max(root[a], root[b]), min(root[a], root[b])
                 root = {k: new if v == old else v for k, v in root.items()}
     assert {r.doc_id for r in keep_one(frame(rows)).collect()} == set(root.values())
+
+
+def test_prefixes_bound_what_is_shared():
+    rng = np.random.default_rng(3)
+    common = np.arange(0, simhash.BUCKETS, 3)
+    for _ in range(2000):
+        pool = rng.integers(0, 2**63, 60).astype(np.uint64)
+        one, two = (np.unique(rng.choice(pool, rng.integers(1, 60))) for _ in range(2))
+        (a, ra), (b, rb) = (simhash.prefix(x, common) for x in (one, two))
+        both = len(np.intersect1d(one, two))
+        assert simhash.most_shared(a, b, (ra, rb), (len(one), len(two))) >= both
+        if both >= 0.8 * (len(one) + len(two) - both):
+            assert len(np.intersect1d(a, b))
