@@ -27,6 +27,8 @@ GROUP = 512
 # groups of several members up to this many (20 bytes each) are sent to all tasks; beyond, the
 # index is shuffled a second time to meet them
 SENT_GROUPS = 1_000_000
+# links that a task gathers from several groups before they go out
+HELD = 10_000
 # the pipeline's near copies
 SIMILAR = 0.8
 SHINGLE = 5
@@ -109,9 +111,12 @@ def grouped_links(grouped: DataFrame) -> DataFrame:
             starts, flat = members.offsets.to_pylist(), members.values
             fps = flat.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             nodes = flat.field("node").to_numpy(zero_copy_only=False)
+            links: list[tuple[int, int]] = []
             for s, e in zip(starts, starts[1:], strict=False):
-                links = spanning(fps[s:e], nodes[s:e])
-                yield batch(schema, {"a": [x[0] for x in links], "b": [x[1] for x in links]})
+                links += spanning(fps[s:e], nodes[s:e])
+                if len(links) > HELD or e == starts[-1]:
+                    yield batch(schema, {"a": [x[0] for x in links], "b": [x[1] for x in links]})
+                    links = []
 
     return grouped.select("members").mapInArrow(run, "a long, b long")
 
