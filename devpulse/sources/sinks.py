@@ -1,7 +1,10 @@
 """Writing tables, and cutting lineage."""
 
+import atexit
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +28,12 @@ def write_replace_years(
     if not df.where(~F.coalesce(listed, F.lit(False))).isEmpty():
         raise ValueError(f"rows of years other than {sorted(years)}")
     # an overwrite by partition leaves listed years without rows as they are: their folders go
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     given = {r[0] for r in df.select(year_column).distinct().collect()}
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         year_column
     ).parquet(path)
     for year in set(years) - given:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{year_column}={year}"), True)
+        delete_path(df.sparkSession, f"{path}/{year_column}={year}")
 
 
 def append_results(df: DataFrame, path: str) -> None:
@@ -53,9 +53,73 @@ def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession) -> str | None:
-    """A new path in the session's shared checkpoint folder, None where it has none."""
+    """A new path in the session's shared checkpoint folder, None where it has none.  It is
+    listed in the innermost open scope, which deletes it at its end."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    return f"{folder.rstrip('/')}/devpulse-{uuid.uuid4().hex}" if folder else None
+    if not folder:
+        return None
+    path = f"{folder.rstrip('/')}/devpulse-{uuid.uuid4().hex}"
+    _scopes[-1].append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark's file systems have it; one that is gone is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+# paths by open scope, innermost last; the first is the process's own
+_scopes: list[list[str]] = [[]]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is written to scratch inside is deleted at the end, an error's included.
+
+    Consume results inside, or write them out with `cut_lineage` after leaving an inner scope:
+    `with scratch_scope(spark): said_vs_did(...).write.parquet(path)`."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
+def in_scope(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """`f` with a scratch scope of its own: what it returns is written once to the caller's scope,
+    and its other files are deleted before the caller goes on."""
+
+    @wraps(f)
+    def run(*args, **kwargs) -> DataFrame:
+        frames = [x for x in (*args, *kwargs.values()) if isinstance(x, DataFrame)]
+        spark = frames[0].sparkSession
+        _scopes.append([])
+        own = _scopes[-1]
+        try:
+            out = f(*args, **kwargs)
+            _scopes.pop()
+            # without files nothing needs to be kept
+            return cut_lineage(out) if own else out
+        finally:
+            if _scopes[-1] is own:
+                _scopes.pop()
+            for path in own:
+                delete_path(spark, path)
+
+    return run
+
+
+def clear_scratch() -> None:
+    """Delete what is listed in no scope but the process's own; called when Python ends."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        while _scopes[0]:
+            delete_path(spark, _scopes[0].pop())
+
+
+atexit.register(clear_scratch)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -63,7 +127,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Models built on the result start from files that outlive a lost executor, read only the
     columns they need, and know the table's real size, which lets Spark broadcast it when it
-    is small.  A session without such a folder gets the frame back unchanged."""
+    is small.  The files live as long as the innermost `scratch_scope`, or the process.  A
+    session without such a folder gets the frame back unchanged."""
     path = scratch_path(df.sparkSession)
     if path is None:
         return df

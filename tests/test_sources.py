@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -256,3 +257,27 @@ def test_spine_keeps_first_mapping(spark, rows):
         mapping_seed(spark).schema,
     )
     assert rows(technology_spine(seed), "source_name", "canonical_name") == [("x", "A"), ("y", "B")]
+
+
+def files_in(folder):
+    return sorted(p.name for p in pathlib.Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("devpulse-"))
+
+
+def test_scratch_ends_with_its_scope(spark):
+    """Files of a scope go at its end, also after an error; a scoped operator leaves its result alone."""
+    folder = sinks.scratch_path(spark).rsplit("/", 1)[0]
+    before = files_in(folder)
+
+    @sinks.in_scope
+    def doubled(df):
+        a = sinks.cut_lineage(df)
+        return sinks.cut_lineage(a.union(a))
+
+    with sinks.scratch_scope(spark):
+        out = doubled(spark.range(3))
+        assert out.count() == 6 and len(files_in(folder)) == len(before) + 1
+        with pytest.raises(ValueError), sinks.scratch_scope(spark):
+            sinks.cut_lineage(spark.range(2))
+            raise ValueError
+        assert len(files_in(folder)) == len(before) + 1
+    assert files_in(folder) == before
