@@ -10,9 +10,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.sources.sinks import cut_lineage
+from devpulse.sources.sinks import CHECKPOINT_DIR, cut_lineage
 
-stored = cut_lineage
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to the shared checkpoint folder and read back.  Operators that read a table
+    several times, or go in rounds, don't work without that folder: each round would repeat all
+    before it, and a lost executor would have it repeated again."""
+    out = cut_lineage(df)
+    if out is df:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    return out
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

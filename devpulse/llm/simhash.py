@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from devpulse.llm.common import batch, pieces, stored, text_column, utf8, words
 from devpulse.llm.components import connected_components
+from devpulse.sources.sinks import in_scope
 
 SEED = 42
 DISTANCE = 3
@@ -29,18 +30,6 @@ GROUP = 512
 SENT_GROUPS = 1_000_000
 # links that a task gathers from several groups before they go out
 HELD = 10_000
-# the pipeline's near copies
-SIMILAR = 0.8
-SHINGLE = 5
-# multipliers that make one number of a shingle's word hashes
-TURNS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 2**64) for i in range(SHINGLE)], np.uint64)
-# buckets in which shingles are counted to see which are common, and how far above the mean they are
-BUCKETS = 1 << 20
-COMMON = 8
-# counts of a text's shingles by which two texts may be told apart before they are compared
-COUNTS = 64
-# members of a block of a large group; two blocks are compared in one task
-BLOCK = 256
 
 
 def shingles(found: list[bytes], n: int) -> list[bytes]:
@@ -149,313 +138,70 @@ def within(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
-    """(doc_id, fp) of every document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(id, text_key, fp) of every row; `id` and `text_key` as in `row_keys`."""
+    schema = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("fp", pa.int64())])
 
     def run(batches):
         for b in pieces(batches):
             fps = [fingerprint(words(x), n) for x in utf8(b["text"])]
-            yield batch(schema, {"doc_id": b["doc_id"], "fp": fps})
-
-    return docs.select(F.col("doc_id").cast("long"), text_column().alias("text")).mapInArrow(
-        run, "doc_id long, fp long"
-    )
-
-
-def near_duplicates(docs: DataFrame, n: int = 3) -> DataFrame:
-    """Per document: doc_id, fingerprint (hexadecimal), component_id (the smallest doc_id that
-    links of fingerprints reach, its own included; null if all of them are null)."""
-    signed = stored(fingerprints(docs, n))
-    first = stored(signed.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    prints = first.select(F.col("fp").alias("node"), F.lit(0).alias("f"), "fp")
-    # a node is its fingerprint here
-    links = candidate_links(prints).where(within(F.col("a"), F.col("b")))
-    roots = connected_components(links)
-    grouped = first.join(roots, first["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    grouped = stored(grouped)
-    ids = stored(grouped.groupBy("root").agg(F.min("first").alias("component_id")))
-    classes = stored(grouped.join(ids, "root").select("fp", "component_id"))
-    return signed.join(classes, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
-
-
-def shingle_numbers(found: list[bytes]) -> np.ndarray:
-    """The distinct shingles of SHINGLE words as sorted 64-bit numbers."""
-    if len(found) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(s) for s in shingles(found, SHINGLE)], np.uint64)
-    own = np.array(list(map(xxhash.xxh64_intdigest, found)), np.uint64)
-    count = len(own) - SHINGLE + 1
-    return np.unique(sum(own[i : i + count] * TURNS[i] for i in range(SHINGLE)))
-
-
-def bucket(parts: np.ndarray) -> np.ndarray:
-    return (parts % np.uint64(BUCKETS)).astype(np.int64)
-
-
-def common_buckets(docs: DataFrame) -> np.ndarray:
-    """Buckets that hold far more than their share of some task's shingles.  They only decide an
-    order, so any answer is right, and a good one keeps groups small."""
-    schema = pa.schema([("at", pa.int64())])
-
-    def run(batches):
-        counts = np.zeros(BUCKETS, np.int64)
-        for b in pieces(batches):
-            own = [bucket(shingle_numbers(words(x))) for x in utf8(b["text"])]
-            counts += np.bincount(np.concatenate(own), minlength=BUCKETS)
-        some = np.flatnonzero(counts > COMMON * max(1.0, counts.mean()))
-        yield batch(schema, {"at": pa.array(some)})
-
-    found = docs.select(text_column().alias("text")).mapInArrow(run, "at long").distinct().collect()
-    return np.array(sorted(r["at"] for r in found), np.int64)
-
-
-def prefix(parts: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int]:
-    """(keys, how many of them aren't common): the first shingles in an order that all texts share, common ones last: so many that two texts
-    which share SIMILAR of their shingles have one of these in common.
-
-    Such texts share at least SIMILAR of either's shingles, and what is left out of a prefix is
-    fewer than that, so the first shingle in order that both have is in both prefixes."""
-    if not len(parts):
-        return parts, 0
-    last = np.isin(bucket(parts), common)
-    size = len(parts) - int(np.ceil(SIMILAR * len(parts) - 1e-9)) + 1
-    return np.concatenate([parts[~last], parts[last]])[:size], min(size, int((~last).sum()))
-
-
-def most_shared(one: np.ndarray, two: np.ndarray, rare: tuple[int, int], sizes: tuple[int, int]) -> int:
-    """The most shingles that two texts can share, by their prefixes: what these have in common up
-    to the end of the one that ends first, and all the rest of the smaller text from there."""
-    parts = [(one[: rare[0]], one[rare[0] :]), (two[: rare[1]], two[rare[1] :])]
-    ends = [(len(later) > 0, int((later if len(later) else first)[-1])) for first, later in parts]
-    late, end = min(ends)
-    # how many of either text are up to there
-    seen = [len(f) + np.searchsorted(c, end, "right") if late else np.searchsorted(f, end, "right") for f, c in parts]
-    both = len(np.intersect1d(one[: seen[0]], two[: seen[1]], assume_unique=True))
-    return both + int(min(sizes[0] - seen[0], sizes[1] - seen[1]))
-
-
-def tally(parts: np.ndarray) -> bytes:
-    """How many of the shingles have each rest by COUNTS, 255 for more."""
-    counts = np.bincount((parts >> np.uint64(32)).astype(np.int64) % COUNTS, minlength=COUNTS)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
-
-
-def tallies(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COUNTS)
-
-
-def may_be_similar(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """False where the tallies rule out that two texts share SIMILAR of their shingles."""
-    most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
-    full = ((one == 255) & (two == 255)).any(axis=1)  # more than counted
-    most = np.where(full, np.minimum(sizes, others), most)
-    return most >= SIMILAR * (sizes + others - most) - 1e-9
-
-
-def signed_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_key, node, size, tally, rare, keys): `node` stands for the words of a text,
-    `text_key` for the text, `keys` are the prefix of its shingles, of which it has `size`; the
-    first `rare` of them aren't common."""
-    sent = docs.sparkSession.sparkContext.broadcast(common_buckets(docs))
-    schema = pa.schema(
-        [("id", pa.int64()), ("text_key", pa.int64()), ("node", pa.int64()), ("size", pa.int64())]
-        + [("tally", pa.binary()), ("rare", pa.int64()), ("keys", pa.list_(pa.int64()))]
-    )
-
-    def run(batches):
-        common = sent.value
-        for b in pieces(batches):
-            found = [words(x) for x in utf8(b["text"])]
-            parts = [shingle_numbers(w) for w in found]
-            keys = [prefix(x, common) for x in parts]
-            columns = {
-                "id": b["id"],
-                "text_key": b["text_key"],
-                "node": pa.array(np.array([xxhash.xxh64_intdigest(b" ".join(w)) for w in found], np.uint64).view(np.int64)),
-                "size": [len(x) for x in parts],
-                "tally": [tally(x) for x in parts],
-                "rare": [n for _, n in keys],
-                "keys": [x.view(np.int64) for x, _ in keys],
-            }
-            yield batch(schema, columns)
+            yield batch(schema, {"id": b["id"], "text_key": b["text_key"], "fp": fps})
 
     return docs.select(*row_keys(), text_column().alias("text")).mapInArrow(
-        run, "id long, text_key long, node long, size long, tally binary, rare long, keys array<long>"
+        run, "id long, text_key long, fp long"
     )
 
 
 def row_keys() -> tuple[Column, Column]:
-    """What stands for a row: its id, the largest number for null, and a key of its text."""
-    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    return number.alias("id"), F.xxhash64(text_column()).alias("text_key")
+    """What stands for a row: its id, and a key of its text."""
+    return F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_column()).alias("text_key")
 
 
-def possible(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links that neither the sizes nor the tallies nor the prefixes rule out."""
-    near_a = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("tally").alias("ta"))
-    near_b = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("tally").alias("tb"))
-    # sizes alone rule out many, and cost nothing
-    sized = F.least("sa", "sb") >= F.lit(SIMILAR) * F.greatest("sa", "sb") - F.lit(1e-9)
-    joined = links.join(near_a, "a").join(near_b, "b").where(sized)
-
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                sizes = [b[c].to_numpy() for c in ("sa", "sb")]
-                keep = may_be_similar(tallies(b["ta"]), tallies(b["tb"]), *sizes)
-                yield b.select(["a", "b"]).filter(pa.array(keep))
-
-    sized = stored(joined.select("a", "b", "sa", "sb", "ta", "tb").mapInArrow(run, "a long, b long"))
+def classes(signed: DataFrame) -> DataFrame:
+    """(fp, root) of every fingerprint in `signed`, root being the same for all that links reach."""
+    prints = stored(signed.select(F.col("fp").alias("node"), F.lit(0).alias("f"), "fp").distinct())
+    # a node is its fingerprint here
+    links = candidate_links(prints).where(within(F.col("a"), F.col("b")))
+    roots = connected_components(links).withColumnRenamed("node", "fp")
+    return prints.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
-    # then the prefixes, which are longer and rule out more
-    near_a = nodes.select(F.col("node").alias("a"), F.col("size").alias("sa"), F.col("rare").alias("ra"), F.col("keys").alias("ka"))
-    near_b = nodes.select(F.col("node").alias("b"), F.col("size").alias("sb"), F.col("rare").alias("rb"), F.col("keys").alias("kb"))
 
-    def look(batches):
-        for b in pieces(batches, 64):
-            sizes = list(zip(b["sa"].to_pylist(), b["sb"].to_pylist(), strict=True))
-            rare = list(zip(b["ra"].to_pylist(), b["rb"].to_pylist(), strict=True))
-            keep = []
-            for i, (one, two) in enumerate(zip(b["ka"], b["kb"], strict=True)):
-                keys = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (one, two)]
-                most = most_shared(*keys, rare[i], sizes[i])
-                keep.append(most >= SIMILAR * (sum(sizes[i]) - most) - 1e-9)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return sized.join(near_a, "a").join(near_b, "b").select("a", "b", "sa", "sb", "ra", "rb", "ka", "kb").mapInArrow(look, "a long, b long")
-
-
-def verified(links: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The links whose texts share at least SIMILAR of their distinct shingles of SHINGLE words."""
-    links = stored(possible(links, nodes))
-    wanted = stored(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
-    rows = stored(wanted.join(nodes, "node").select("node", F.col("first.id"), F.col("first.text_key")))
-    schema = pa.schema([("node", pa.int64()), ("parts", pa.list_(pa.int64()))])
-
-    def cut(batches):
-        for b in pieces(batches):
-            parts = [shingle_numbers(words(x)).view(np.int64) for x in utf8(b["text"])]
-            yield batch(schema, {"node": b["node"], "parts": parts})
+@in_scope
+def near_duplicates(docs: DataFrame, n: int = 3) -> DataFrame:
+    """Per document: doc_id, fingerprint (hexadecimal), component_id (the smallest doc_id that
+    links of fingerprints reach, its own included; null if all of them are null)."""
+    signed = stored(fingerprints(docs, n))
+    grouped = stored(classes(signed))
+    firsts = signed.groupBy("fp").agg(F.min("id").alias("first")).join(grouped, "fp")
+    ids = stored(firsts.groupBy("root").agg(F.min("first").alias("component_id")))
+    found = stored(grouped.join(ids, "root").select("fp", "component_id"))
+    return signed.join(found, "fp").select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
 
-    # rows that repeat an id and a text give the same parts, one of which is enough
-    texts = docs.select(*row_keys(), text_column().alias("text")).join(rows, ["id", "text_key"])
-    sets = stored(texts.select("node", "text").mapInArrow(cut, "node long, parts array<long>").dropDuplicates(["node"]))
-    answer = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(batches):
-        for b in pieces(batches, 64):
-            kept: dict[str, list] = {"a": [], "b": []}
-            left, right = b["left"], b["right"]
-            for i, (x, y) in enumerate(zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)):
-                s, t = left[i].values.to_numpy(), right[i].values.to_numpy()
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if both >= SIMILAR * (len(s) + len(t) - both):
-                    kept["a"].append(x)
-                    kept["b"].append(y)
-            yield batch(answer, kept)
-
-    one = sets.select(F.col("node").alias("a"), F.col("parts").alias("left"))
-    two = sets.select(F.col("node").alias("b"), F.col("parts").alias("right"))
-    half = stored(links.join(one, "a"))
-    return stored(half.join(two, "b").select("a", "b", "left", "right").mapInArrow(compare, "a long, b long"))
-
-
-def members_of_tiles(members: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """What is left to compare in groups of more than one component: (members), a row for every two
-    blocks of a group, each of about BLOCK members.
-
-    A component of more than BLOCK members of a group has blocks of its own, which are not
-    compared with each other; the rest of a group shares blocks, which are.  So no task holds a
-    group, and of a group of copies and some other texts only what differs is compared."""
-    found = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    found = stored(found)
-    sizes = stored(found.groupBy("key", "root").agg(F.count("*").alias("c")).withColumn("own", F.when(F.col("c") > BLOCK, F.col("root"))))
-    classes = sizes.groupBy("key", "own").agg(F.sum("c").alias("c"), F.count("*").alias("roots"))
-    entry = F.struct("own", F.ceil(F.col("c") / BLOCK).cast("int").alias("t"))
-    groups = classes.groupBy("key").agg(F.array_sort(F.collect_list(entry)).alias("classes"), F.sum("roots").alias("r"))
-    groups = stored(groups.where("r > 1").withColumn("total", F.expr("aggregate(classes, 0, (n, x) -> n + x.t)")).drop("r"))
-    large = stored(sizes.where("own is not null").select("key", "root", "own"))
-    placed = found.join(groups, "key").join(large, ["key", "root"], "left")
-    # the first block of a member's class, the number of them, and the member's own
-    at = "cast(array_position(transform(classes, x -> coalesce(x.own = own, x.own is null and own is null)), true) as int)"
-    placed = placed.withColumn("at", F.expr(at)).withColumns(
-        {"start": F.expr("aggregate(slice(classes, 1, at - 1), 0, (n, x) -> n + x.t)"), "t": F.expr("classes[at - 1].t")}
-    )
-    placed = placed.withColumn("g", F.expr("start + cast(pmod(xxhash64(node), t) as int)"))
-    others = F.expr("filter(sequence(0, total - 1), h -> own is null or h < start or h >= start + t)")
-    tiled = placed.select("key", "node", "root", "g", F.explode(others).alias("h"))
-    tiled = tiled.join(nodes.select("node", "size", "tally"), "node")
-    one = F.struct("node", "root", "g", "size", "tally")
-    return tiled.groupBy("key", F.least("g", "h").alias("x"), F.greatest("g", "h").alias("y")).agg(F.collect_list(one).alias("members"))
+@in_scope
+def survivors(docs: DataFrame, n: int = 3) -> DataFrame:
+    """(id, text_key, copies) of the row to keep of each class: the smallest id, null as largest,
+    then the smallest key; `copies` says how often that row is there."""
+    signed = stored(fingerprints(docs, n))
+    rows = signed.groupBy("fp", "id", "text_key").agg(F.count("*").alias("copies"))
+    entry = F.struct(F.col("id").isNull().alias("last"), "id", "text_key", "copies")
+    best = rows.groupBy("fp").agg(F.min(entry).alias("first"))
+    best = best.join(classes(signed), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return best.select("first.id", "first.text_key", "first.copies")
 
 
-def tile_links(tiles: DataFrame) -> DataFrame:
-    """(a, b) of the pairs in each tile whose components differ and whose tallies allow a link:
-    those between two blocks, and of a block compared with itself all."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def keep_one(docs: DataFrame, n: int = 3) -> DataFrame:
+    """`docs` with one document of each class of `near_duplicates`: the one of the smallest id
+    (null ids count as largest, then the smallest key of the text), once if its row is repeated.
 
-    def run(batches):
-        for b in pieces(batches, 64):
-            starts, flat = b["members"].offsets.to_pylist(), b["members"].values
-            node, root, g, size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "g", "size"))
-            counts = flat.field("tally")
-            for s, e, x, y in zip(starts, starts[1:], b["x"].to_pylist(), b["y"].to_pylist(), strict=False):
-                own, sizes, kinds = tallies(counts.slice(s, e - s)), size[s:e], root[s:e]
-                across = np.ones((e - s, e - s), bool) if x == y else g[s:e, None] != g[None, s:e]
-                i, j = np.nonzero(np.triu(across & (kinds[:, None] != kinds[None]), 1))
-                for k in range(0, len(i), 65536):
-                    p, q = i[k : k + 65536], j[k : k + 65536]
-                    keep = may_be_similar(own[p], own[q], sizes[p], sizes[q])
-                    one, two = node[s:e][p[keep]], node[s:e][q[keep]]
-                    if len(one):
-                        yield batch(schema, {"a": pa.array(np.minimum(one, two)), "b": pa.array(np.maximum(one, two))})
-
-    return tiles.select("x", "y", "members").mapInArrow(run, "a long, b long")
-
-
-def similar_links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all that texts sharing SIMILAR of their shingles connect.
-
-    Groups of texts with a shingle of their prefixes in common are counted first.  In a group each
-    member is compared with the smallest; what that does not connect is compared in full."""
-    indexed = nodes.select("node", F.explode("keys").alias("key"))
-    counted = indexed.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")
-    )
-    counted = stored(counted.where("n > 1"))
-    shared = counted.where("n > 2").select("key", "a")
-    sent = F.broadcast(shared) if shared.count() <= SENT_GROUPS else shared
-    members = stored(indexed.join(sent, "key"))
-    hubs = members.where("node <> a").select("a", F.col("node").alias("b"))
-    first = stored(counted.where("n = 2").select("a", "b").union(hubs).distinct())
-    links = verified(first, docs, nodes)
-    roots = stored(connected_components(links))
-    rest = tile_links(members_of_tiles(members.select("key", "node"), nodes, roots)).distinct()
-    rest = stored(rest.join(first, ["a", "b"], "left_anti"))
-    return links if rest.isEmpty() else links.union(verified(rest, docs, nodes))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each group of copies: the one of the smallest id (null ids
-    count as largest), once if its row is repeated.
-
-    Texts are linked if they share at least SIMILAR of their SHINGLE-word shingles, whatever the
-    edit; groups are what links connect, and texts of the same words."""
-    signed = stored(signed_texts(docs))
-    first = F.min(F.struct("id", "text_key")).alias("first")
-    same = [F.max(c).alias(c) for c in ("size", "tally", "rare", "keys")]
-    nodes = stored(signed.groupBy("node").agg(first, *same))
-    roots = connected_components(similar_links(docs, nodes))
-    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    counts = signed.groupBy("id", "text_key").agg(F.count("*").alias("copies"))
-    kept = stored(kept.join(counts, ["id", "text_key"]))
+    Texts without words, null ones included, have fingerprint zero and are one class; a very long
+    text is one fingerprint like any other; an empty table stays empty."""
+    kept = survivors(docs, n)
     # whole rows in one column, so that no column of theirs meets one of ours
     rows = docs.select(F.struct([F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *row_keys())
-    out = rows.join(kept, ["id", "text_key"])
+    same = rows["id"].eqNullSafe(kept["id"]) & (rows["text_key"] == kept["text_key"])
+    out = rows.join(kept.select("id", "text_key"), same, "left_semi")
     if not kept.where("copies > 1").isEmpty():
         out = out.dropDuplicates(["id", "text_key"])
     return out.select("doc.*")
