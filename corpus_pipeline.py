@@ -20,7 +20,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies stays: five-word shingles, similarity of 0.8 or more."""
+    """One document of each class of near copies stays: fingerprints of three-word shingles that
+    links of at most three differing bits connect."""
     return keep_one(docs)
 
 
@@ -43,7 +44,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("toxicity", reject_toxic),
-    ("near_copies", drop_near_copies),
+    ("simhash", drop_near_copies),
     ("decontamination", drop_benchmark_leaks),
     ("secrets", redact_secrets),
     ("packing", pack_sequences),
