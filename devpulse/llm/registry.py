@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devpulse.llm import quality, toxicity
+from devpulse.llm import minhash, quality, toxicity
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
 from devpulse.llm.decontaminate import contaminated
@@ -14,6 +14,7 @@ from devpulse.llm.packing import pack
 from devpulse.llm.secrets import find_secrets
 from devpulse.llm.simhash import near_duplicates
 from devpulse.llm.surrogates import replace_entities
+from devpulse.llm.vgram import spelling_variants
 from devpulse.llm.warc import read_archives, write_archives
 from devpulse.sources.sinks import scratch_path
 
@@ -118,3 +119,13 @@ def op7(spark: SparkSession, d: str) -> DataFrame:
 def op4(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return replace_entities(docs).select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
+
+
+@query("op12_minhash")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_variants(table(spark, d, "documents"))
