@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devpulse.llm import minhash, quality, toxicity
+from devpulse.llm.alignment import aligned_documents
 from devpulse.llm.bottomk import compare_edited
 from devpulse.llm.common import table
 from devpulse.llm.decontaminate import contaminated
@@ -121,6 +122,14 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
     return replace_entities(docs).select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
 
 
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return aligned_documents(table(spark, d, "documents"), *map(public_tokenizers.path, names))
+
+
 @query("op12_minhash")
 def op12(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, d, "documents"))
