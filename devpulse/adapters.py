@@ -6,6 +6,8 @@ that is used, wanted, or both.  A respondent's brands travel as a set of numbers
 aggregation reduces in each task; the list text is made after the shuffle.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +18,7 @@ from devpulse.operators.staging import stage_activity, stage_survey_a, stage_sur
 from devpulse.plans.activity import activity_yearly
 from devpulse.plans.adoption import adoption_a, adoption_b, technology_adoption
 from devpulse.plans.spine import technologies, technology_spine
+from devpulse.sources.sinks import cut_lineage
 
 MAPPED_BRANDS = 24
 CANONICAL_BRANDS = 20
@@ -58,18 +61,58 @@ def brand_seed(spark: SparkSession) -> DataFrame:
     )
 
 
-def brand_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    """What every order line says about its part's brand: used (A), wanted (N), or both (R)."""
-    lines = load(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
+def line_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What every order line says about its part's brand: used (A), wanted (N), or both (R); and
+    the shipment it is.  Short columns, for the surveys and the activity to be made from."""
+    lines = load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_returnflag", "l_suppkey", "l_linenumber", "l_linestatus", "l_shipdate"
+    )
     parts = load(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")
     )
     flag = F.col("l_returnflag")
     return lines.join(parts, "l_partkey").select(
         F.col("l_orderkey").alias("o_orderkey"),
+        "bn",
         F.when(flag != "N", F.col("bn")).alias("used"),
         F.when(flag != "A", F.col("bn")).alias("desired"),
+        F.trunc("l_shipdate", "month").alias("activity_month"),
+        (F.col("l_linestatus") == "F").alias("pushed"),
+        "l_suppkey",
+        "l_linenumber",
+    )
+
+
+def order_sets(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Every order with its customer, year, price and priority, and the sets of brands that its
+    lines (`line_facts`) use and want, NULL for an order without lines."""
+    said = line_facts(spark, folder) if lines is None else lines
+    sets = said.groupBy("o_orderkey").agg(
+        F.collect_set("used").alias("used"), F.collect_set("desired").alias("desired")
     )
+    orders = load(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.year("o_orderdate").alias("survey_year"),
+        "o_totalprice",
+        "o_orderpriority",
+    )
+    return orders.join(sets, "o_orderkey", "left")
+
+
+@dataclass
+class Sources:
+    """What several models are made from: the lines, and the orders with their sets of brands."""
+
+    lines: DataFrame
+    orders: DataFrame
+
+
+def shared_sources(spark: SparkSession, folder: str) -> Sources:
+    """Each written once where the session has a checkpoint folder, so that the lines are scanned
+    and brought together by order once, however many models follow."""
+    lines = cut_lineage(line_facts(spark, folder))
+    return Sources(lines, cut_lineage(order_sets(spark, folder, lines)))
 
 
 def list_text(brands: str, of_category: int | None = None) -> str:
@@ -94,25 +137,30 @@ def respondents_b(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_survey_a(spark: SparkSession, folder: str, profile: bool = False) -> DataFrame:
-    """Survey A in its raw shape.  `profile` adds the answers that come from the customer."""
-    who = [
-        F.col("o_custkey").cast("string").alias("response_id"),
-        F.year("o_orderdate").alias("survey_year"),
+def raw_survey_a(
+    spark: SparkSession, folder: str, profile: bool = False, orders: DataFrame | None = None
+) -> DataFrame:
+    """Survey A in its raw shape: the orders (`order_sets`) of a customer and year together.
+    `profile` adds the answers that come from the customer."""
+    told = order_sets(spark, folder) if orders is None else orders
+    # an entry for the order itself, and one for each brand it names
+    order = "named_struct('price', o_totalprice, 'priority', o_orderpriority, 'used', int(NULL), 'desired', int(NULL))"
+    entries = [
+        f"transform(coalesce({held}, array()), b -> named_struct('price', double(NULL), 'priority', string(NULL), "
+        f"'used', {used}, 'desired', {desired}))"
+        for held, used, desired in (("used", "b", "int(NULL)"), ("desired", "int(NULL)", "b"))
     ]
-    orders = load(spark, folder, "orders")
-    said = brand_mentions(spark, folder).join(
-        orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey"
-    )
-    rows = orders.select(*who, "o_totalprice", "o_orderpriority").unionByName(
-        said.select(*who, "used", "desired"), allowMissingColumns=True
+    rows = told.select(
+        F.col("o_custkey").cast("string").alias("response_id"),
+        "survey_year",
+        F.expr(f"inline(concat(array({order}), {', '.join(entries)}))"),
     )
     people = rows.groupBy("response_id", "survey_year").agg(
         F.collect_set("used").alias("used"),
         F.collect_set("desired").alias("desired"),
-        F.expr("max(o_totalprice) AS price"),
-        F.expr("count(o_totalprice) AS n_orders"),
-        F.expr("min(o_orderpriority) AS priority"),
+        F.max("price").alias("price"),
+        F.count("price").alias("n_orders"),
+        F.min("priority").alias("priority"),
     )
     lists = [
         f"{list_text(brands, k)} AS {name}_{suffix}"
@@ -147,9 +195,9 @@ def raw_survey_a(spark: SparkSession, folder: str, profile: bool = False) -> Dat
     )
 
 
-def raw_survey_b(spark: SparkSession, folder: str) -> DataFrame:
+def raw_survey_b(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> DataFrame:
     """Survey B in its raw shape."""
-    return survey_b_sets(spark, folder).selectExpr(
+    return survey_b_sets(spark, folder, orders).selectExpr(
         "response_id",
         "survey_year",
         "concat('Brand#', array_min(used)) AS primary_language",
@@ -158,19 +206,10 @@ def raw_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def survey_b_sets(spark: SparkSession, folder: str) -> DataFrame:
-    who = F.col("o_orderkey").cast("string").alias("response_id")
-    orders = load(spark, folder, "orders").select(who, F.year("o_orderdate").alias("survey_year"))
-    said = brand_mentions(spark, folder).select(who, "used", "desired")
-    return (
-        orders.unionByName(said, allowMissingColumns=True)
-        .groupBy("response_id")
-        .agg(
-            F.max("survey_year").alias("survey_year"),
-            F.collect_set("used").alias("used"),
-            F.collect_set("desired").alias("desired"),
-        )
-        .where(F.col("survey_year").isNotNull())
+def survey_b_sets(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> DataFrame:
+    told = order_sets(spark, folder) if orders is None else orders
+    return told.select(
+        F.col("o_orderkey").cast("string").alias("response_id"), "survey_year", "used", "desired"
     )
 
 
@@ -198,28 +237,15 @@ def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_activity(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly activity in its raw shape: shipped lines by month and brand."""
-    lines = load(spark, folder, "lineitem").select(
-        "l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_linestatus", "l_shipdate"
-    )
-    parts = load(spark, folder, "part")
+def raw_activity(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
+    """Monthly activity in its raw shape: shipped lines (`line_facts`) by month and brand."""
+    said = line_facts(spark, folder) if lines is None else lines
     # short fixed-width keys are grouped and shuffled; their names are made afterwards
-    said = lines.join(
-        parts.select(F.col("p_partkey").alias("l_partkey"), brand_number().alias("bn")), "l_partkey"
-    ).select(
-        F.trunc("l_shipdate", "month").alias("activity_month"),
-        "bn",
-        (F.col("l_linestatus") == "F").alias("pushed"),
-        "l_suppkey",
-        "l_orderkey",
-        "l_linenumber",
-    )
     counted = grouped_distinct_counts(
         said,
         ["activity_month", "bn", "pushed"],
-        [F.count(F.lit(1)).alias("lines"), F.sum("l_linenumber").alias("line_numbers")],
-        {"unique_actors": "l_suppkey", "unique_repos": "l_orderkey"},
+        {"lines": ("count", "*"), "line_numbers": ("sum", "l_linenumber")},
+        {"unique_actors": "l_suppkey", "unique_repos": "o_orderkey"},
     )
     return counted.selectExpr(
         "activity_month",
@@ -356,47 +382,65 @@ def spine(spark: SparkSession) -> DataFrame:
     return technology_spine(brand_seed(spark))
 
 
-def staged_a(spark: SparkSession, folder: str, profile: bool = False) -> DataFrame:
-    return stage_survey_a(raw_survey_a(spark, folder, profile))
+def staged_a(
+    spark: SparkSession, folder: str, profile: bool = False, orders: DataFrame | None = None
+) -> DataFrame:
+    return stage_survey_a(raw_survey_a(spark, folder, profile, orders))
 
 
-def staged_b(spark: SparkSession, folder: str) -> DataFrame:
-    return stage_survey_b(raw_survey_b(spark, folder))
+def staged_b(spark: SparkSession, folder: str, orders: DataFrame | None = None) -> DataFrame:
+    return stage_survey_b(raw_survey_b(spark, folder, orders))
 
 
 def yearly_a(
-    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+    spark: SparkSession,
+    folder: str,
+    mapping: DataFrame | None = None,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
     """Survey A's yearly rates.  Respondents are counted by their natural key, which the
     surveys are already partitioned by, so nothing is shuffled between building the surveys
     and the final counts."""
-    rows = technology_rows_a(staged_a(spark, folder), NATURAL_KEY)
+    rows = technology_rows_a(staged_a(spark, folder, orders=orders), NATURAL_KEY)
     mapping = mapping or spine(spark)
     return adoption_a(rows, respondents_a(spark, folder), mapping, NATURAL_KEY)
 
 
 def yearly_b(
-    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+    spark: SparkSession,
+    folder: str,
+    mapping: DataFrame | None = None,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    rows = technology_rows_b(staged_b(spark, folder), NATURAL_KEY)
+    rows = technology_rows_b(staged_b(spark, folder, orders), NATURAL_KEY)
     mapping = mapping or spine(spark)
     return adoption_b(rows, respondents_b(spark, folder), mapping, NATURAL_KEY)
 
 
 def yearly_activity(
-    spark: SparkSession, folder: str, mapping: DataFrame | None = None
+    spark: SparkSession,
+    folder: str,
+    mapping: DataFrame | None = None,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    monthly = stage_activity(raw_activity(spark, folder))
+    monthly = stage_activity(raw_activity(spark, folder, lines))
     return activity_yearly(monthly, mapping or spine(spark))
 
 
+def yearly_tables(
+    spark: SparkSession, folder: str, mapping: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The yearly tables of both surveys and the activity, from one scan of the lines."""
+    made = shared_sources(spark, folder)
+    return (
+        yearly_a(spark, folder, mapping, made.orders),
+        yearly_b(spark, folder, mapping, made.orders),
+        yearly_activity(spark, folder, mapping, made.lines),
+    )
+
+
 def adoption(
     spark: SparkSession, folder: str, mapping: DataFrame | None = None
 ) -> DataFrame:
     mapping = mapping or spine(spark)
-    return technology_adoption(
-        yearly_a(spark, folder, mapping),
-        yearly_b(spark, folder, mapping),
-        yearly_activity(spark, folder, mapping),
-        technologies(mapping),
-    )
+    return technology_adoption(*yearly_tables(spark, folder, mapping), technologies(mapping))

@@ -8,8 +8,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devpulse.functions import round_half_away
+from devpulse.operators.quantiles import group_quantiles
 
 
 def respondent_totals(
@@ -49,13 +51,11 @@ def adoption_counts(
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, percentiles: Mapping[str, float]
 ) -> DataFrame:
-    """Exact, interpolated percentiles per key.
+    """Exact, interpolated percentiles per key, of values of any domain.
 
-    Equal values are counted before the keys are brought together, so a group's reducer sees
-    one weighted row per distinct value.  Use it for values of a bounded domain (whole-number
-    pay, rounded medians, percentages); `profiling.exact_quantiles` handles open domains."""
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    return weighted_percentiles(counted, keys, value, "_n", percentiles)
+    By selection: no task holds a group's values, not even its distinct ones.  Keys without a
+    value have no row."""
+    return group_quantiles(df, keys, value, percentiles)
 
 
 def weighted_percentiles(
@@ -66,7 +66,10 @@ def weighted_percentiles(
     percentiles: Mapping[str, float],
     extra: Sequence[Column] = (),
 ) -> DataFrame:
-    """Percentiles of values that come with a count, plus further aggregates of the group."""
+    """Percentiles of values that come with a count, plus further aggregates of the group.
+
+    One pass; a group's reducer holds a weighted row per distinct value, so use it where the
+    domain has a bound (whole-number pay, rounded medians), else `exact_percentiles`."""
     points = F.percentile(
         F.col(value), F.array(*[F.lit(p) for p in percentiles.values()]), F.col(weight)
     )
@@ -190,21 +193,66 @@ def top_n_by_mean(
     )
 
 
+def plain(value: Column, kind: T.DataType) -> Column:
+    """A value whose text is the same wherever the value is: no negative zero, no raw bytes."""
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    return value + F.lit(0.0) if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else value
+
+
+# aggregates that partial results can be put together by, and what does
+COMBINED = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
+
+
 def grouped_distinct_counts(
-    df: DataFrame, keys: Sequence[str], others: Sequence[Column], counted: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    others: Mapping[str, tuple[str, str]],
+    counted: Mapping[str, str],
 ) -> DataFrame:
-    """`others` and exact distinct counts (`counted`: column by name of its count) per key.
-
-    Several exact distinct counts in one aggregate make Spark copy every row once for each.  Here
-    each has an aggregate of its own, and they meet on the keys, of which there are few."""
-    grouped = keys or ["_all"]
-    rows = df if keys else df.withColumn("_all", F.lit(1))
-    (name, column), *further = counted.items()
-    out = rows.groupBy(*grouped).agg(*others, F.count_distinct(column).alias(name))
-    for name, column in further:
-        more = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in grouped]).agg(
-            F.count_distinct(column).alias(name)
+    """Exact distinct counts (`counted`: column by name of its count) and further aggregates
+    (`others`: (count, sum, min or max; column, or * to count rows) by name) per key.
+
+    The input is read once, however many columns are counted.  Each row gives one entry a counted
+    column, and the first also carries what `others` need.  Whole numbers and dates are counted in
+    bitmaps of 64 values, which tasks combine before anything is shuffled, so a dense column
+    shuffles a word for 64 values and a sparse one a word a value; other types shuffle their
+    distinct values."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    whole = {c: isinstance(kinds[c], (T.IntegralType, T.DateType)) for c in counted.values()}
+    wanted = [(f"_o{i}", kind, column) for i, (kind, column) in enumerate(others.values())]
+    kinds["*"] = T.IntegerType()
+    entries = []
+    for i, column in enumerate(counted.values()):
+        number = F.unix_date(column) if isinstance(kinds[column], T.DateType) else F.col(column).cast("long")
+        number = number.cast("long")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+        entries.append(
+            F.struct(
+                F.lit(i).alias("_which"),
+                (F.shiftright(number, 6) if whole[column] else F.lit(None).cast("long")).alias("_word"),
+                (F.lit(None) if whole[column] else plain(F.col(column), kinds[column])).cast("string").alias("_value"),
+                (bit if whole[column] else F.lit(1).cast("long")).alias("_bit"),
+                *[
+                    (F.lit(1) if c == "*" else F.col(c) if i == 0 else F.lit(None).cast(kinds[c])).alias(o)
+                    for o, _, c in wanted
+                ],
+            )
         )
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in grouped]
-        out = out.join(more, same).drop(*[f"_{k}" for k in grouped])
-    return out if keys else out.drop("_all")
+    rows = df.select(*keys, F.inline(F.array(*entries)))
+    words = rows.groupBy(*keys, "_which", "_word", "_value").agg(
+        F.bit_or("_bit").alias("_bits"), *[F.expr(f"{kind}({o}) AS {o}") for o, kind, _ in wanted]
+    )
+    first = F.col("_which") == 0
+    filled = F.col("_word").isNotNull() | F.col("_value").isNotNull()
+    found = F.when(filled, F.bit_count("_bits")).otherwise(0)
+    return words.groupBy(*keys).agg(
+        *[
+            F.call_function(COMBINED[kind], F.when(first, F.col(o))).alias(name)
+            for name, (o, kind, _) in zip(others, wanted, strict=True)
+        ],
+        *[
+            F.coalesce(F.sum(F.when(F.col("_which") == i, found)), F.lit(0)).cast("long").alias(name)
+            for i, name in enumerate(counted)
+        ],
+    )

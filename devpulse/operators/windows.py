@@ -4,13 +4,13 @@ They run on yearly marts, where a partition (one technology, or one technology o
 holds as many rows as there are years.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from devpulse.functions import ratio
-from devpulse.operators.aggregates import exact_percentiles
+from devpulse.operators.aggregates import weighted_percentiles
 
 
 def dedup_mapping(
@@ -26,10 +26,16 @@ def dedup_mapping(
     return df.groupBy(key).agg(best).select(key, "_row.*").select(*df.columns)
 
 
-def share_of_year(df: DataFrame, column: str, year: str) -> Column:
-    """Share of the year's total.  `df` has one row per year and mapped technology, so a
-    year's partition is bounded by the mapping."""
-    return ratio(F.col(column), F.sum(column).over(Window.partitionBy(year)))
+def share_of_year(df: DataFrame, shares: Mapping[str, str], year: str) -> DataFrame:
+    """`df` with the shares (by name, of which column) in the year's total.  Totals are an
+    aggregate with map-side combine, a row a year, so no task gets a year's rows."""
+    totals = df.groupBy(F.col(year).alias("_year")).agg(
+        *[F.sum(c).alias(f"_{name}") for name, c in shares.items()]
+    )
+    joined = df.join(totals, F.col(year).eqNullSafe(F.col("_year")))
+    return joined.select(
+        *df.columns, *[ratio(F.col(c), F.col(f"_{name}")).alias(name) for name, c in shares.items()]
+    )
 
 
 def yoy_prior(column: str, partition: Sequence[str], year: str = "year") -> Column:
@@ -55,10 +61,11 @@ def yoy_abs_by_source(df: DataFrame, column: str = "survey_adoption_pct") -> Dat
 def year_median(
     df: DataFrame, column: str, year: str, name: str
 ) -> DataFrame:
-    """Median of `column` per year.  An aggregate over counted values rather than a window: a
-    year is a handful of partitions, and a window would pull all its rows into one task."""
+    """Median of `column`, whole units, per year.  An aggregate over counted values rather than a
+    window: a year is a handful of partitions, and a window would pull all its rows into one task."""
     rows = df.where(F.col(column).isNotNull())
-    return exact_percentiles(rows, [year], column, {name: 0.5})
+    counted = rows.groupBy(year, column).agg(F.count(F.lit(1)).alias("_n"))
+    return weighted_percentiles(counted, [year], column, "_n", {name: 0.5})
 
 
 def trailing_stats(

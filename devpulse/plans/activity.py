@@ -38,7 +38,8 @@ def yearly_activity(monthly: DataFrame, spine: DataFrame) -> DataFrame:
 def activity_yearly(monthly: DataFrame, spine: DataFrame) -> DataFrame:
     """Yearly activity with each technology's share of the mapped events and actors."""
     yearly = yearly_activity(monthly, spine)
-    return yearly.select(
+    shares = {"event_share": "total_events", "actor_share": "total_unique_actors"}
+    return share_of_year(yearly, shares, "activity_year").select(
         "activity_year",
         "technology_name",
         "technology_category",
@@ -46,6 +47,5 @@ def activity_yearly(monthly: DataFrame, spine: DataFrame) -> DataFrame:
         F.lit(ACTIVITY).alias("data_source"),
         *SUMS,
         "avg_stars",
-        share_of_year(yearly, "total_events", "activity_year").alias("event_share"),
-        share_of_year(yearly, "total_unique_actors", "activity_year").alias("actor_share"),
+        *shares,
     )

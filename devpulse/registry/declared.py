@@ -150,7 +150,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    yearly = A.yearly_a(spark, d), A.yearly_b(spark, d), A.yearly_activity(spark, d)
+    yearly = A.yearly_tables(spark, d, A.spine(spark))
     return checked("dim_technologies", dim_technologies(A.spine(spark), *yearly))
 
 

@@ -269,13 +269,8 @@ def _(spark, d):
         from ({PRICES})""",
 )
 def _(spark, d):
-    rows = yearly_prices(spark, d)
-    return rows.select(
-        "year",
-        "technology_name",
-        "data_source",
-        share_of_year(rows, "orders", "year").alias("share"),
-    )
+    shared = share_of_year(yearly_prices(spark, d), {"share": "orders"}, "year")
+    return shared.select("year", "technology_name", "data_source", "share")
 
 
 @query(

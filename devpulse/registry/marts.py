@@ -161,7 +161,7 @@ def _(spark, d):
 )
 def _(spark, d):
     return dim_technologies(
-        A.spine(spark), A.yearly_a(spark, d), A.yearly_b(spark, d), A.yearly_activity(spark, d)
+        A.spine(spark), *A.yearly_tables(spark, d, A.spine(spark))
     )
 
 

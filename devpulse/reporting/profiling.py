@@ -1,15 +1,14 @@
 """Table profiles."""
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.functions import round_half_away, to_double
 from devpulse.operators.aggregates import grouped_distinct_counts
+from devpulse.operators.quantiles import QUARTILES, group_quantiles
 
-QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-SLICE_GROUPS, SLICES_PER_GROUP = 32, 16
 
 
 def null_report(df: DataFrame, ordered: bool = True) -> DataFrame:
@@ -101,100 +100,27 @@ def _long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(entries)).where(F.col("v").isNotNull())
 
 
-def _edges_below(low: int, high: int, edge: Callable[[int], str]) -> str:
-    """SQL that counts how many of the ascending edges low..high-1 are below v, by bisection."""
-    if low == high:
-        return str(low)
-    middle = (low + high) // 2
-    above = _edges_below(middle + 1, high, edge)
-    return f"IF({edge(middle)} < v, {above}, {_edges_below(low, middle, edge)})"
-
-
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Mapping[str, float] = QUARTILES,
 ) -> DataFrame:
-    """Exact, interpolated quantiles of whole columns, in parallel.
-
-    Equal values are counted first.  A sketch of the distinct values cuts each column into
-    slices of about the same number of them; slice totals give the rank at which a slice
-    starts, and a running count inside the slice gives the rank of every value.  No task
-    holds more than one slice, however large the column or frequent a value."""
-    counted = (
-        _long_form(df, columns).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-    )
-    slices = SLICE_GROUPS * SLICES_PER_GROUP
-    steps = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    cuts = counted.groupBy("column_name").agg(
-        F.expr(f"percentile_approx(v, array({steps}), {slices * 20}) AS cuts")
-    )
-    # one row per requested column, so its size is known
-    per = SLICES_PER_GROUP
-    group = _edges_below(0, SLICE_GROUPS - 1, lambda i: f"cuts[{i * per + per - 1}]")
-    inner = _edges_below(0, per - 1, lambda i: f"cuts[g * {per} + {i}]")
-    sliced = (
-        counted.join(F.broadcast(cuts), "column_name")
-        .select("*", F.expr(f"{group} AS g"))
-        .select("column_name", "v", "n", F.expr(f"g * {per} + {inner} AS slice"))
-    )
-    column = Window.partitionBy("column_name")
-    starts = (
-        sliced.groupBy("column_name", "slice")
-        .agg(F.sum("n").alias("in_slice"))
-        .select(
-            "column_name",
-            "slice",
-            (F.sum("in_slice").over(column.orderBy("slice")) - F.col("in_slice")).alias("start"),
-            F.sum("in_slice").over(column).alias("total"),
-        )
-    )
-    inside = Window.partitionBy("column_name", "slice").orderBy("v")
-    # at most one row per slice of each requested column
-    ranked = sliced.join(F.broadcast(starts), ["column_name", "slice"], "inner").select(
-        "column_name",
-        "v",
-        "total",
-        (F.col("start") + F.sum("n").over(inside)).alias("upto"),
-        F.col("n"),
-    )
-    first, past = F.col("upto") - F.col("n"), F.col("upto")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < past), F.col("v")))
-
-    aggregates, results = [], []
-    for name, p in probabilities.items():
-        place = F.lit(p) * (F.col("total") - 1)
-        aggregates += [
-            at(F.floor(place)).alias(f"{name}_lo"),
-            at(F.ceil(place)).alias(f"{name}_hi"),
-        ]
-        place = F.lit(p) * (F.col("_total") - 1)
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        results.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return (
-        ranked.groupBy("column_name")
-        .agg(F.max("total").alias("_total"), *aggregates)
-        .select("column_name", *results)
-    )
+    """Exact, interpolated quantiles of whole columns; two passes over the input."""
+    return group_quantiles(_long_form(df, columns), ["column_name"], "v", probabilities)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per column, two digits."""
-    basics = (
-        _long_form(df, columns)
-        .groupBy("column_name")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
-    )
+    """Count, mean, deviation, extremes and quartiles per column, two digits; two passes."""
+    basics = {
+        "count": F.count(F.lit(1)),
+        "mean": F.avg("v"),
+        "std": F.stddev("v"),
+        "min": F.min("v"),
+        "max": F.max("v"),
+    }
+    found = group_quantiles(_long_form(df, columns), ["column_name"], "v", further=basics)
     rounded = ["mean", "std", "min", "p25", "p50", "p75", "max"]
-    return basics.join(exact_quantiles(df, columns), "column_name", "inner").select(
+    return found.select(
         "column_name", "count", *[round_half_away(F.col(c), 2).alias(c) for c in rounded]
     )
 
@@ -224,14 +150,15 @@ def range_and_cardinality(
     df: DataFrame, range_column: str = "activity_month", counted: Sequence[str] = ()
 ) -> DataFrame:
     """Rows, range of one column and distinct counts of others."""
-    basics = [
-        F.count(F.lit(1)).alias("total_rows"),
-        F.min(range_column).alias("first_value"),
-        F.max(range_column).alias("last_value"),
-    ]
+    basics = {
+        "total_rows": ("count", "*"),
+        "first_value": ("min", range_column),
+        "last_value": ("max", range_column),
+    }
     if not counted:
-        return df.agg(*basics)
-    return grouped_distinct_counts(df, [], basics, {f"distinct_{c}": c for c in counted})
+        return df.agg(*[F.expr(f"{kind}({c}) AS {name}") for name, (kind, c) in basics.items()])
+    found = grouped_distinct_counts(df, [], basics, {f"distinct_{c}": c for c in counted})
+    return found.withColumn("total_rows", F.coalesce("total_rows", F.lit(0)).cast("long"))
 
 
 def top_by_sum(df: DataFrame, key: str, column: str, n: int = 20) -> DataFrame:

@@ -55,13 +55,11 @@ def monthly_events(
     removes the shuffle of the distinct values."""
     keys = ["activity_month", "repo_language", "event_type"]
     counted = {"unique_actors": "actor_login", "unique_repos": "repo_name"}
-    totals = [
-        F.count(F.lit(1)).alias("event_count"),
-        F.sum("commit_count").alias("total_commits"),
-    ]
+    totals = {"event_count": ("count", "*"), "total_commits": ("sum", "commit_count")}
     if approximate is None:
         found = grouped_distinct_counts(fields, keys, totals, counted)
     else:
+        totals = [F.expr(f"{kind}({c}) AS {name}") for name, (kind, c) in totals.items()]
         sketches = [
             F.approx_count_distinct(c, approximate).alias(name) for name, c in counted.items()
         ]

@@ -1,9 +1,12 @@
+import datetime as dt
 import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
+from devpulse.operators import quantiles
+from devpulse.operators.aggregates import grouped_distinct_counts
 from devpulse.reporting import profiling, reports
 
 
@@ -147,6 +150,49 @@ def test_exact_quantiles_match_brute_force(spark, kind):
         assert got[name] == pytest.approx(low + (high - low) * (place - int(place)), rel=1e-12)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 25])
+def test_group_quantiles_with_a_hot_group(spark, monkeypatch, accuracy):
+    """One group holds nearly all rows; NULL keys are a group, NULL values don't count.  A coarse
+    sketch makes brackets, gaps and slices of every group."""
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    random.seed(8)
+    data = [("hot", random.lognormvariate(0, 4)) for _ in range(20_000)]
+    data += [(k, float(random.randint(0, 9))) for k in ("a", None) for _ in range(150)]
+    data += [("hot", None), ("empty", None), ("one", 3.5)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(6)
+    points = {"a": 0.0, "b": 0.05, "c": 0.5, "d": 0.501, "e": 0.999, "f": 1.0}
+    got = {r.k: r for r in quantiles.group_quantiles(df, ["k"], "v", points).collect()}
+    assert got.keys() == {"hot", "a", None, "one"}
+    for k, row in got.items():
+        ordered = sorted(v for x, v in data if x == k and v is not None)
+        for name, p in points.items():
+            place = p * (len(ordered) - 1)
+            low, high = ordered[int(place)], ordered[min(int(place) + 1, len(ordered) - 1)]
+            assert row[name] == pytest.approx(low + (high - low) * (place - int(place)), rel=1e-12), (k, name)
+
+
+def test_distinct_counts_of_every_kind(spark):
+    """Negative and huge numbers, days, texts, doubles of both zeros, NULLs and NULL keys."""
+    random.seed(9)
+    data = [
+        (random.choice(["x", "y", None]), random.choice([None, -(2**63), -65, -64, -1, 0, 63, 64, 2**63 - 1]),
+         random.choice([None, dt.date(1969, 12, 30), dt.date(1970, 1, 1), dt.date(2024, 1, 1)]),
+         random.choice([None, "", "a", "A"]), random.choice([None, 0.0, -0.0, 1.5]))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(data, "k string, n long, d date, t string, f double").repartition(5)
+    counted = {"ns": "n", "ds": "d", "ts": "t", "fs": "f"}
+    got = grouped_distinct_counts(df, ["k"], {"rows": ("count", "*"), "top": ("max", "n"), "filled": ("count", "t")}, counted)
+    want = {}
+    for k in ("x", "y", None):
+        own = [r for r in data if r[0] == k]
+        distinct = [len({r[i] for r in own} - {None}) for i in (1, 2, 3, 4)]
+        want[k] = (len(own), max(r[1] for r in own if r[1] is not None), sum(r[3] is not None for r in own), *distinct)
+    assert {r.k: (r.rows, r.top, r.filled, r.ns, r.ds, r.ts, r.fs) for r in got.collect()} == want
+    nothing = grouped_distinct_counts(df.limit(0), [], {"rows": ("count", "*")}, {"ns": "n"}).first()
+    assert (nothing.ns, nothing.rows or 0) == (0, 0)
+
+
 def test_describe_numeric(spark):
     df = spark.createDataFrame([("1", 2), ("2", 4), ("x", 6), (None, 8)], "a string, b int")
     got = {r.column_name: r for r in profiling.describe_numeric(df, ["a", "b"]).collect()}
