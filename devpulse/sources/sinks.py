@@ -1,6 +1,7 @@
 """Writing tables, and cutting lineage."""
 
 import atexit
+import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -17,41 +18,119 @@ def write_full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+REPLACEMENT = "_replacement.json"
+
+
 def write_replace_years(
     df: DataFrame, path: str, years: Sequence[int], year_column: str = "survey_year"
 ) -> None:
     """Replace the rows of `years`; the folders of other years are neither read nor written.
 
     A listed year without rows in `df` ends up empty.  Rows of a year that isn't listed, or of
-    none, fail the write before anything is changed."""
-    listed = df[year_column].isin(list(years))
-    if not df.where(~F.coalesce(listed, F.lit(False))).isEmpty():
+    none, fail the write before anything is changed.  `df` is computed once, into a folder beside
+    the years that readers skip; a note of what is to be put where then decides the replacement,
+    and folders are renamed.  If it stops before the note, the old rows stand; if after, this
+    function or `finish_replacement` carries it out first thing next time."""
+    spark = df.sparkSession
+    finish_replacement(spark, path)
+    staged = f"{path}/_new-{uuid.uuid4().hex}"
+    df.write.partitionBy(year_column).parquet(staged)
+    given = {n for n in names_in(spark, staged) if "=" in n}
+    listed = {f"{year_column}={y}" for y in years}
+    if given - listed:
+        delete_path(spark, staged)
         raise ValueError(f"rows of years other than {sorted(years)}")
-    # an overwrite by partition leaves listed years without rows as they are: their folders go
-    given = {r[0] for r in df.select(year_column).distinct().collect()}
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        year_column
-    ).parquet(path)
-    for year in set(years) - given:
-        delete_path(df.sparkSession, f"{path}/{year_column}={year}")
+    note = {"staged": staged, "given": sorted(given), "emptied": sorted(listed - given)}
+    write_note(spark, f"{path}/{REPLACEMENT}", json.dumps(note))
+    finish_replacement(spark, path)
+
+
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Carry out a replacement that was decided; without one, nothing.  May be stopped and called
+    again at any point."""
+    note = f"{path}/{REPLACEMENT}"
+    if not path_exists(spark, note):
+        return
+    todo = json.loads("".join(r["value"] for r in spark.read.text(note, wholetext=True).collect()))
+    for folder in todo["emptied"]:
+        delete_path(spark, f"{path}/{folder}")
+    for folder in todo["given"]:
+        # one that is no longer there has been moved
+        if path_exists(spark, f"{todo['staged']}/{folder}"):
+            delete_path(spark, f"{path}/{folder}")
+            rename(spark, f"{todo['staged']}/{folder}", f"{path}/{folder}")
+    delete_path(spark, todo["staged"])
+    delete_path(spark, note)
+
+
+def files_of(spark: SparkSession, path: str):
+    """(file system, path) as the session's Hadoop settings have them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = files_of(spark, path)
+    return files.exists(at)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    files, at = files_of(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(at)]
+
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, at = files_of(spark, old)
+    if not files.rename(at, files_of(spark, new)[1]):
+        raise OSError(f"{old} could not be renamed to {new}")
 
-def append_results(df: DataFrame, path: str) -> None:
-    """Add check results to the log."""
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    part = f"{path}.part"
+    files, at = files_of(spark, part)
+    stream = files.create(at, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename(spark, part, path)
+
+
+def append_results(df: DataFrame, path: str, run_id: str | None = None) -> str | None:
+    """Add check results to the log.  Results without a `run_id` get the given one, or a new
+    random one, the same for all rows; what they got is returned."""
+    if "run_id" not in df.columns:
+        run_id = run_id or str(uuid.uuid4())
+        df = df.select(F.lit(run_id).alias("run_id"), "*")
     df.write.mode("append").parquet(path)
+    return run_id
+
 
+def materialize(
+    df: DataFrame, name: str, kind: str = "view", bucket_by: Sequence[str] = (), buckets: int = 0
+) -> DataFrame:
+    """Publish a model under `name`, as a temporary view or as a table.
 
-def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:
-    """Publish a model under `name`, as a temporary view or as a table."""
+    Tables with equal `bucket_by` and `buckets` are joined on these columns without a shuffle;
+    choose as many buckets as keep one within a task's memory."""
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        if bucket_by:
+            writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        writer.saveAsTable(name)
     else:
         raise ValueError(f"unknown materialization {kind!r}")
     return df.sparkSession.table(name)
 
 
+def scratch_table(df: DataFrame, bucket_by: Sequence[str], buckets: int) -> DataFrame:
+    """A bucketed table that ends with the innermost scratch scope."""
+    name = f"devpulse_{uuid.uuid4().hex}"
+    _scopes[-1].append(f"table:{name}")
+    return materialize(df, name, "table", bucket_by, buckets)
+
+
 def scratch_path(spark: SparkSession) -> str | None:
     """A new path in the session's shared checkpoint folder, None where it has none.  It is
     listed in the innermost open scope, which deletes it at its end."""
@@ -64,12 +143,16 @@ def scratch_path(spark: SparkSession) -> str | None:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder, wherever Spark's file systems have it; one that is gone is no error."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    """Delete a folder, wherever Spark's file systems have it, or what a scope lists as a table;
+    one that is gone is no error."""
+    if path.startswith("table:"):
+        spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix('table:')}")
+    else:
+        files, at = files_of(spark, path)
+        files.delete(at, True)
 
 
-# paths by open scope, innermost last; the first is the process's own
+# paths and tables by open scope, innermost last; the first is the process's own
 _scopes: list[list[str]] = [[]]
 
 

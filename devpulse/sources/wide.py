@@ -23,6 +23,11 @@ from devpulse.functions.scalars import WHITESPACE
 from devpulse.sources.schemas import SURVEY_B, conform
 
 
+def quoted(header: str) -> str:
+    """A header as a column name, whatever is in it."""
+    return "`" + header.replace("`", "``") + "`"
+
+
 def selected_options(
     df: DataFrame, prefix: str, drop_answers: bool = False, drop_suffix: str | None = None
 ) -> Column:
@@ -37,7 +42,7 @@ def selected_options(
     ]
     if not headers:
         return F.array().cast("array<string>")
-    raw = F.expr("array(" + ", ".join(f"`{h}`" for h in headers) + ")")
+    raw = F.array(*[F.col(quoted(h)) for h in headers])
     cells = F.transform(raw, lambda cell: F.btrim(cell, F.lit(WHITESPACE)))
 
     def keep(cell: Column) -> Column:
@@ -82,7 +87,7 @@ def first_present_field(df: DataFrame, names: Sequence[str]) -> Column:
     """The first header that exists in the file (not the first value that is filled)."""
     for name in names:
         if name in df.columns:
-            return F.col(f"`{name}`")
+            return F.col(quoted(name))
     return F.lit(None).cast("string")
 
 

@@ -1,5 +1,7 @@
+import csv
 import datetime as dt
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from devpulse.constants import NAME_MAPPING, SURVEY_A_HEADERS
 from devpulse.plans.spine import mapping_seed, technologies, technology_spine
-from devpulse.sources import activity, catalog, files, schemas, sinks, wide
+from devpulse.sources import activity, catalog, files, records, schemas, sinks, wide
 
 
 def test_scan_csv_keeps_every_row(spark, tmp_path, rows):
@@ -281,3 +283,102 @@ def test_scratch_ends_with_its_scope(spark):
             raise ValueError
         assert len(files_in(folder)) == len(before) + 1
     assert files_in(folder) == before
+
+
+def table_of(count, seed):
+    """Rows with every kind of cell: line breaks, quotes, separators, and one longer than a split."""
+    rng = random.Random(seed)
+    cells = ["plain", "", 'a "word"', "two\nlines", "\n\n", ",,", '"', "\r\n end", "naïve 漢字", "  x "]
+    rows = [[str(i), rng.choice(cells), "".join(rng.choices(cells, k=3))] for i in range(count)]
+    rows[count // 2][2] = "long\n" * 40_000
+    return rows
+
+
+@pytest.mark.parametrize("sent", [200_000, 0])
+def test_quoted_line_breaks_in_split_files(spark, tmp_path, rows, monkeypatch, sent):
+    """The rows of `multi_line`, from many tasks; also where splits are too many to be sent."""
+    monkeypatch.setattr(records, "SENT_SPLITS", sent)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for seed in (1, 2):
+        with (tmp_path / f"{seed}.csv").open("w", newline="", encoding="utf-8-sig") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if seed == 2 else "\n")
+            writer.writerows([["id", "a b", "c.d"], *table_of(4000, seed)])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        split = files.scan_csv(spark, str(tmp_path), quoted_breaks=True)
+        assert records.quoted_rows(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+        got = rows(split)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(i, *[None if c in ("", "NA") else c for c in cells]) for s in (1, 2) for i, *cells in table_of(4000, s)]
+    assert split.columns == ["id", "a b", "c.d"]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_replacing_years_is_all_or_nothing(spark, tmp_path, rows, monkeypatch):
+    """Stopped before its decision it leaves the old rows; after it, the next call brings the new."""
+    path = f"file:{tmp_path}/t"
+    old = spark.createDataFrame([(1, 2021), (2, 2022), (3, 2023)], "v int, survey_year int")
+    sinks.write_full_refresh(old, path, ["survey_year"])
+    new = spark.createDataFrame([(10, 2021), (30, 2023)], "v int, survey_year int")
+
+    def stop(*args):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(sinks, "write_note", stop)
+        sinks.write_replace_years(new, path, [2021, 2022, 2023])
+    assert rows(spark.read.parquet(path)) == [(1, 2021), (2, 2022), (3, 2023)]
+    real, calls = sinks.rename, []
+
+    def once(spark, a, b):
+        calls.append(a)
+        if len(calls) == 3:  # the note, the first year, then the second
+            raise OSError("stopped")
+        real(spark, a, b)
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(sinks, "rename", once)
+        sinks.write_replace_years(new, path, [2021, 2022, 2023])
+    sinks.finish_replacement(spark, path)
+    assert rows(spark.read.parquet(path)) == [(10, 2021), (30, 2023)]
+    with pytest.raises(ValueError):
+        sinks.write_replace_years(new, path, [2021])
+    with pytest.raises(ValueError):
+        sinks.write_replace_years(spark.createDataFrame([(1, None)], "v int, survey_year int"), path, [2021])
+    assert rows(spark.read.parquet(path)) == [(10, 2021), (30, 2023)]
+
+
+def test_all_years_of_a_survey(spark, tmp_path, rows):
+    (tmp_path / "2021.csv").write_text('ResponseId,Country,Nothing\n1,"US\nA",x\n')
+    (tmp_path / "2023.csv").write_text('"Country",AISelect,ResponseId\nNA,Yes,2\n')
+    paths = {y: str(tmp_path / f"{y}.csv") for y in (2021, 2022, 2023)}
+    raw = files.load_survey_years(spark, paths)
+    assert raw.columns == schemas.SURVEY_A.names
+    got = rows(raw, "survey_year", "response_id", "country", "ai_select")
+    assert got == [(2021, "1", "US\nA", None), (2023, "2", None, "Yes")]
+    assert files.load_survey_years(spark, {2022: paths[2022]}).count() == 0
+
+
+def test_results_without_a_run_get_one(spark, tmp_path):
+    path = str(tmp_path / "log")
+    results = spark.createDataFrame([("a", 1), ("b", 0)], "test_name string, failure_count long")
+    first, second = (sinks.append_results(results, path) for _ in range(2))
+    found = {r.run_id: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()}
+    assert found == {first: 2, second: 2} and first != second
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    keys = ["k", "year"]
+    df = spark.range(200).selectExpr("id % 50 as k", "int(id % 3) as year", "id")
+    with sinks.scratch_scope(spark):
+        one, two = (sinks.scratch_table(df.withColumnRenamed("id", c), keys, 4) for c in ("a", "b"))
+        joined = one.hint("merge").join(two, keys)
+        assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == df.join(df.withColumnRenamed("id", "b"), keys).count()
+        names = {t.name for t in spark.catalog.listTables() if t.name.startswith("devpulse_")}
+        assert len(names) == 2
+    assert not {t.name for t in spark.catalog.listTables()} & names
