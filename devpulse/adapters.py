@@ -213,11 +213,16 @@ def survey_b_sets(spark: SparkSession, folder: str, orders: DataFrame | None = N
     )
 
 
-def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
-    """Survey B as its files have it: one column per option.  The options are the parts' brands,
-    as many as a file has columns."""
+def brand_options(spark: SparkSession, folder: str) -> list[int]:
+    """The options of a wide file: the parts' brands, as many as a file has columns.  They become
+    headers, so they come to the driver, as a file's header line does."""
     found = load(spark, folder, "part").select(brand_number().alias("bn")).distinct()
-    brands = sorted(r["bn"] for r in found.collect())
+    return sorted(r["bn"] for r in found.collect())
+
+
+def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
+    """Survey B as its files have it: one column per option."""
+    brands = brand_options(spark, folder)
 
     def options(held: str, prefix: str) -> list[Column]:
         return [
@@ -237,6 +242,31 @@ def wide_survey_b(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def wide_survey_b_dotted(spark: SparkSession, folder: str) -> DataFrame:
+    """Survey B as its files of 2021 and 2022 have it: dotted headers, a copy of every option of a
+    question, and answers that stand for none."""
+    brands = brand_options(spark, folder)
+
+    def options(held: str, prefix: str, suffix: str = "") -> list[Column]:
+        return [
+            F.when(F.array_contains(held, b), f"Brand#{b}\t").alias(f"{prefix}Brand#{b}{suffix}")
+            for b in brands
+        ]
+
+    none = F.coalesce(F.size("used"), F.lit(0)) <= 0
+    return survey_b_sets(spark, folder).select(
+        "response_id",
+        *options("used", "proglang."),
+        *options("used", "proglang.", "_103"),
+        F.when(none, "I don't use programming languages").alias("proglang.none"),
+        F.lit("I don't use any").alias("primary_proglang.0"),
+        *options("used", "primary_proglang."),
+        *options("desired", "adopt_proglang."),
+        F.lit("No, I'm NOT PLANNING to").alias("adopt_proglang.No"),
+        *options("desired", "os_devenv."),
+    )
+
+
 def raw_activity(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Monthly activity in its raw shape: shipped lines (`line_facts`) by month and brand."""
     said = line_facts(spark, folder) if lines is None else lines

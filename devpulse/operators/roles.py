@@ -5,10 +5,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from devpulse.constants import ROLE_ALIASES
-from devpulse.functions import contains_any, round_half_away
+from devpulse.constants import LIST_SEPARATOR, ROLE_ALIASES
+from devpulse.functions import contains_any, round_half_away, split_text
 from devpulse.functions.scalars import WHITESPACE
 from devpulse.operators.reshape import explode_multiselect
+from devpulse.sources.sinks import cut_lineage
 
 
 def label_roles(
@@ -37,12 +38,16 @@ def skill_shares(labelled: DataFrame, column: str, keys: Sequence[str]) -> DataF
     """How often each skill is listed within a key, and as a percentage of the key's rows that
     answered the question at all."""
     answered = labelled.where(F.col(column).isNotNull()).select(*keys, column)
-    totals = answered.groupBy(*keys).agg(F.count(F.lit(1)).alias("answered"))
-    counts = (
-        explode_skills(answered, column)
-        .groupBy(*keys, "skill")
-        .agg(F.count(F.lit(1)).alias("skill_count"))
+    skills = F.transform(
+        split_text(F.col(column), LIST_SEPARATOR), lambda skill: F.btrim(skill, F.lit(WHITESPACE))
     )
+    # a NULL besides the skills counts the answer itself, so one pass gives both counts
+    listed = F.explode(F.concat(F.array(F.lit(None).cast("string")), skills)).alias("skill")
+    counted = cut_lineage(
+        answered.select(*keys, listed).groupBy(*keys, "skill").agg(F.count(F.lit(1)).alias("skill_count"))
+    )
+    totals = counted.where("skill IS NULL").select(*keys, F.col("skill_count").alias("answered"))
+    counts = counted.where("skill IS NOT NULL")
     pct = round_half_away(F.col("skill_count") / F.col("answered") * 100, 1)
     return counts.join(totals, list(keys), "inner").select(
         *keys, "skill", "skill_count", pct.alias("pct")

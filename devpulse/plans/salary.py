@@ -55,11 +55,17 @@ def filter_used(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_currently_used"))
 
 
+NATURAL_KEY = ("response_id", "survey_year")
+
+
 def paid_technologies(surveys: DataFrame, technologies: DataFrame) -> DataFrame:
-    """Each validly paid respondent next to each technology they use."""
-    paid = filter_valid_salary(surveys).select("survey_response_id", *RESPONDENT_TRAITS)
-    used = filter_used(technologies).select("survey_response_id", "technology_name")
-    return join_respondent(paid, used)
+    """Each validly paid respondent next to each technology they use.  Where both sides have the
+    short natural key they meet on it, and the hashed one is not shuffled."""
+    natural = all(set(NATURAL_KEY) <= set(df.columns) for df in (surveys, technologies))
+    key = list(NATURAL_KEY) if natural else ["survey_response_id"]
+    paid = filter_valid_salary(surveys).select(*dict.fromkeys(["survey_response_id", *key, *RESPONDENT_TRAITS]))
+    used = filter_used(technologies).select(*key, "technology_name")
+    return join_respondent(paid, used, key)
 
 
 def paid_technologies_in_place(surveys: DataFrame) -> DataFrame:

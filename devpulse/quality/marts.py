@@ -4,7 +4,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from devpulse.constants import (
@@ -26,6 +26,7 @@ from devpulse.quality.checks import (
     check_unique_combination,
     failing,
 )
+from devpulse.sources.sinks import write_full_refresh
 
 FAILURE = ["technology_name", "year", "failure_reason"]
 
@@ -305,3 +306,28 @@ def run_checks(tables: dict[str, DataFrame], rules: bool = True) -> DataFrame:
     result = reduce(DataFrame.unionByName, counted)
     status = F.when(F.col("failure_count") > 0, "fail").otherwise("pass").alias("status")
     return result.select("model_name", "test_name", status, "failure_count")
+
+
+def write_checked(
+    df: DataFrame, path: str, table: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write `df` to `path` and count the failing rows of the row checks declared for `table` on
+    the way: the counts ride on the write as observed metrics, so no check reads the table again.
+
+    One row per check, as `run_checks` has them.  Checks that group rows need a shuffle of their
+    own and are left to `run_checks` on what was written."""
+    conditions = {n: c.condition for n, c in DECLARED_CHECKS.get(table, {}).items() if c.condition}
+    spark = df.sparkSession
+    schema = "model_name string, test_name string, status string, failure_count long"
+    if not conditions:
+        write_full_refresh(df, path, partition_by)
+        return spark.createDataFrame([], schema)
+    seen = Observation(f"checks_{table}")
+    metrics = [F.expr(f"count_if({c})").alias(f"m{i}") for i, c in enumerate(conditions.values())]
+    write_full_refresh(df.observe(seen, *metrics), path, partition_by)
+    found = seen.get
+    rows = [
+        (table, n, "fail" if found[f"m{i}"] else "pass", found[f"m{i}"])
+        for i, n in enumerate(conditions)
+    ]
+    return spark.createDataFrame(rows, schema)

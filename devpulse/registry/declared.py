@@ -1,6 +1,7 @@
 """The declared checks of every table as queries, and SQL made from short lists of what they ask."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from devpulse import adapters as A
 from devpulse.constants import (
@@ -26,7 +27,8 @@ def missing(*columns: str) -> list[str]:
 
 
 def repeated(name: str, *columns: str) -> list[str]:
-    known = " and ".join(f"{c} is not null" for c in columns)
+    # a single column is unique among its values; in a combination NULL is a value like others
+    known = f"{columns[0]} is not null" if len(columns) == 1 else "true"
     return [
         f"""select '{name}_{"_".join(columns)}', count(*) from
             (select 1 from t where {known} group by {", ".join(columns)} having count(*) > 1)"""
@@ -48,16 +50,80 @@ def beyond(low: float, high: float, *columns: str) -> list[str]:
     ]
 
 
+# defects put into each table before it is checked: rows that meet the condition are there twice
+# more, the second time with other values.  The same text for Spark and for the checking SQL.
+NO_TEXT, NO_NUMBER = "cast(null as string)", "cast(null as int)"
+PLANTED: dict[str, tuple[str, dict[str, str]]] = {
+    "raw_activity": ("event_count > 50000", {"repo_language": NO_TEXT}),
+    "raw_survey_a": ("survey_year = 1995", {"response_id": NO_TEXT, "survey_year": "2021"}),
+    "raw_survey_b": ("survey_year = 1995", {"response_id": NO_TEXT}),
+    "staged_survey_a": ("survey_year = 1996", {"survey_response_id": NO_TEXT}),
+    "staged_survey_b": ("survey_year = 1996", {"survey_response_id": NO_TEXT}),
+    "technologies_a": (
+        "survey_year = 1997 and is_desired",
+        {"technology_name": NO_TEXT, "technology_category": "concat('old ', technology_category)"},
+    ),
+    "technologies_b": ("survey_year = 1997", {"technology_name": NO_TEXT}),
+    "spine": ("technology_category = 'database'", {"technology_id": NO_TEXT, "canonical_name": NO_TEXT}),
+    "dim_technologies": (
+        "technology_subcategory = 'web'",
+        {"technology_id": NO_TEXT, "technology_category": "concat('no ', technology_category)"},
+    ),
+    "technology_adoption": (
+        "year = 1996",
+        {
+            "technology_name": NO_TEXT,
+            "year": "2024",
+            "data_source": "concat('old ', data_source)",
+            "survey_desire_pct": "survey_desire_pct + 200",
+            "github_event_share": "github_event_share - 1",
+            "total_respondents": "total_respondents + 300000",
+        },
+    ),
+    "said_vs_did": (
+        "year = 1997",
+        {
+            "said_vs_did_classification": "concat('un', said_vs_did_classification)",
+            "avg_survey_adoption_pct": "avg_survey_adoption_pct + 100",
+            "said_vs_did_gap": "said_vs_did_gap - 200",
+        },
+    ),
+    "salary_by_stack": (
+        "survey_year = 1994",
+        {"technology_name": NO_TEXT, "median_salary": "median_salary + 500000", "p25_salary": "p25_salary / 100"},
+    ),
+    "technology_sentiment": (
+        "year = 1995",
+        {
+            "year": NO_NUMBER,
+            "lifecycle_stage": "concat('very ', lifecycle_stage)",
+            "desire_pct": "desire_pct + 100",
+            "desire_gap": "desire_gap + 150",
+        },
+    ),
+}
+
+
 def sql(model: str, view: str, *tests: list[str]) -> str:
     every = " union all ".join(x for some in tests for x in some)
+    condition, other = PLANTED[model]
+    replaced = ", ".join(f"{value} as {c}" for c, value in other.items())
     return f"""
-        with t as (select * from {view})
+        with clean as (select * from {view}),
+             t as (select * from clean union all select * from clean where {condition}
+                   union all select * replace ({replaced}) from clean where {condition})
         select '{model}' as model_name, test_name, if(n > 0, 'fail', 'pass') as status,
                cast(n as bigint) as failure_count from ({every}) as r(test_name, n)"""
 
 
 def checked(name: str, df: DataFrame) -> DataFrame:
-    return run_checks({name: M.stored(df)}, rules=False)
+    """The table's declared checks, after the defects have been put in."""
+    clean = M.stored(df)
+    condition, other = PLANTED[name]
+    some = clean.where(condition)
+    kinds = dict(clean.dtypes)
+    changed = some.withColumns({c: F.expr(v).cast(kinds[c]) for c, v in other.items()})
+    return run_checks({name: clean.unionByName(some).unionByName(changed)}, rules=False)
 
 
 @query(

@@ -14,9 +14,10 @@ from devpulse.sources.catalog import (
     source_counts,
     top_values,
 )
-from devpulse.sources.files import events_between, map_columns, scan_csv, scan_events
+from devpulse.sources.files import events_between, load_survey_years, map_columns, scan_csv, scan_events
 from devpulse.sources.sinks import (
     append_results,
+    cut_lineage,
     scratch_path,
     write_full_refresh,
     write_replace_years,
@@ -362,3 +363,119 @@ def _(spark, d):
     )
     append_results(fixed, path)
     return spark.read.parquet(path).select("run_id", "test_name", "status", "failure_count")
+
+
+@query(
+    "scan_csv_split",
+    f"select conv_id, turn, {NULLED.format('role')}, {NULLED.format('text')} from conversations",
+)
+def _(spark, d):
+    """The texts of `scan_csv`, from files that are split whatever their cells hold."""
+    table, path = A.load(spark, d, "conversations"), scratch(spark)
+    table.write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    return scan_csv(spark, path, table.schema, quoted_breaks=True)
+
+
+@query(
+    "scan_csv_rejected",
+    """select cast(o_orderkey as varchar) as o_orderkey,
+              case when o_orderkey % 7 = 0 then 'about ' || o_custkey
+                   else cast(o_custkey as varchar) end as o_custkey,
+              case when o_orderkey % 5 = 0 then 'soon' else cast(cast(o_orderdate as date) as varchar) end as o_orderdate,
+              case when o_orderkey % 35 = 0 then 'o_custkey,o_orderdate'
+                   when o_orderkey % 7 = 0 then 'o_custkey' else 'o_orderdate' end as misfits
+       from orders where o_orderkey % 7 = 0 or o_orderkey % 5 = 0""",
+)
+def _(spark, d):
+    """Orders with words where a number or a day should be: exactly these are given back."""
+    path = scratch(spark)
+    orders = A.load(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate")
+    )
+    odd = orders.select(
+        F.col("o_orderkey").cast("string"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("about "), "o_custkey")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 5 == 0, "soon").otherwise(F.col("o_orderdate").cast("string")).alias("o_orderdate"),
+    )
+    odd.write.csv(path, header=True, escape='"')
+    found = scan_csv(spark, path, orders.schema, rejected=True)
+    return found.withColumn("misfits", F.array_join("misfits", ","))
+
+
+# headers of one survey that changed from year to year
+YEAR_HEADERS = {
+    0: {"response_id": "ResponseId", "ed_level": "EdLevel", "comp_total": "CompTotal"},
+    1: {"ed_level": ' "EdLevel"', "response_id": "ResponseId", "years_code_pro": "YearsCodePro"},
+    2: {"years_code_pro": "WorkExp", "response_id": '"ResponseId"', "language_have_worked_with": "LanguageHaveWorkedWith"},
+}
+
+
+@query(
+    "load_survey_years",
+    """with lists as (
+           select response_id, survey_year,
+                  string_agg(technology_name, ';' order by cast(substr(technology_name, 7) as integer)) as used
+           from tech_a where is_currently_used and technology_category = 'language' group by all)
+       select survey_year, response_id,
+              case when survey_year % 3 < 2 then priority || chr(10) || 'of it' end as ed_level,
+              case when survey_year % 3 = 0 then cast(cast(price as decimal(18, 2)) as varchar) end as comp_total,
+              case when survey_year % 3 > 0 then cast(n_orders % 4 as varchar) end as years_code_pro,
+              case when survey_year % 3 = 2 then used end as language_have_worked_with
+       from people_a left join lists using (response_id, survey_year)""",
+)
+def _(spark, d):
+    """A file a year, whose headers differ in name, order and number, and whose cells hold line
+    breaks; one year's file is missing."""
+    raw = cut_lineage(A.raw_survey_a(spark, d))
+    raw = raw.withColumn("ed_level", F.concat("ed_level", F.lit("\nof it")))
+    years = sorted(r[0] for r in raw.select("survey_year").distinct().collect())
+    files = {2100: scratch(spark)}
+    for year in years:
+        headers = YEAR_HEADERS[year % 3]
+        files[year] = scratch(spark)
+        cells = [F.col(c).alias(h) for c, h in headers.items()] + [F.lit("x").alias("Unknown header")]
+        raw.where(F.col("survey_year") == year).select(*cells).write.csv(files[year], header=True, escape='"')
+    loaded = load_survey_years(spark, files)
+    return loaded.select(
+        "survey_year", "response_id", "ed_level", "comp_total", "years_code_pro", "language_have_worked_with"
+    )
+
+
+@query(
+    "load_wide_survey_dotted",
+    OPTIONS_SQL
+    + """select response_id, cast(2022 as integer) as survey_year,
+                'Brand#' || first_used as primary_language, used as languages_used,
+                wanted as languages_plan_to_adopt, wanted as operating_systems
+         from people_b left join o using (response_id)""",
+)
+def _(spark, d):
+    """The files of 2021 and 2022: dotted headers, copies of options, answers that say none."""
+    wide = A.wide_survey_b_dotted(spark, d)
+    return load_wide_survey(wide, 2022).select(
+        "response_id",
+        "survey_year",
+        "primary_language",
+        "languages_used",
+        "languages_plan_to_adopt",
+        "operating_systems",
+    )
+
+
+@query(
+    "append_results_run",
+    """select l_linestatus, count(*) as runs, cast(sum(n) as bigint) as failure_count from (
+           select l_linestatus, l_returnflag, count(*) as n from lineitem group by all) group by 1""",
+)
+def _(spark, d):
+    """Results without a run get one of their own, the same for all rows of an append."""
+    path, lines = scratch(spark), A.load(spark, d, "lineitem")
+    for flag in ("A", "N", "R"):
+        own = lines.where(F.col("l_returnflag") == flag)
+        append_results(own.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n")), path)
+    log = spark.read.parquet(path)
+    return log.groupBy("l_linestatus").agg(
+        F.count_distinct("run_id").alias("runs"), F.sum("n").alias("failure_count")
+    )

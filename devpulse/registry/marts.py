@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from devpulse import adapters as A
+from devpulse.constants import NAME_MAPPING
 from devpulse.functions import round_half_away
 from devpulse.operators.aggregates import adoption_counts, exact_percentiles, respondent_totals
 from devpulse.operators.aggregates import salary_stats, survey_average
-from devpulse.operators.joins import join_spine
+from devpulse.operators.joins import join_respondent, join_spine
 from devpulse.operators.reshape import technology_rows_a, unpivot_survey_a
 from devpulse.operators.staging import stage_activity
 from devpulse.operators.windows import dedup_mapping, year_median
@@ -15,14 +16,15 @@ from devpulse.plans.anomalies import adoption_anomalies
 from devpulse.plans.compare import said_vs_did
 from devpulse.plans.dimension import dim_technologies
 from devpulse.plans.salary import (
+    filter_used,
     filter_valid_salary,
     paid_technologies_in_place,
     salary_by_stack,
 )
 from devpulse.plans.sentiment import technology_sentiment
-from devpulse.plans.spine import technologies, technology_spine
+from devpulse.plans.spine import mapping_seed, technologies, technology_spine
 from devpulse.registry.base import query
-from devpulse.sources.sinks import cut_lineage, materialize
+from devpulse.sources.sinks import cut_lineage, materialize, scratch_table
 
 
 def dims(spark):
@@ -292,3 +294,60 @@ def _(spark, d):
     return published.groupBy("survey_year").agg(F.count(F.lit(1)).alias("technologies"))
 
 
+
+
+def mapping_values() -> str:
+    """The mapping as SQL values."""
+    cells = [", ".join("'" + text.replace("'", "''") + "'" for text in row) for row in NAME_MAPPING]
+    return ", ".join(f"({x})" for x in cells)
+
+
+@query(
+    "technology_mapping",
+    f"""with seed_rows as (select * from (values {mapping_values()})
+                           as v(source_name, canonical_name, technology_category, technology_subcategory)),
+        one as (select * from seed_rows qualify row_number() over (
+                    partition by source_name order by canonical_name, technology_category, technology_subcategory) = 1),
+        names as (select row_number() over (order by source_name) - 1 as k, source_name
+                  from (select distinct source_name from seed_rows))
+        select s.canonical_name as technology_name, s.technology_category, s.technology_subcategory,
+               md5(s.canonical_name || '-' || s.technology_category) as technology_id,
+               count(*) as parts, cast(sum(p_size) as bigint) as total_size
+        from part join names on p_partkey % 100 = k join one s on names.source_name = s.source_name
+        group by all""",
+)
+def _(spark, d):
+    """The whole mapping, repeated names and all: every part says one of its names, or none."""
+    names = sorted({row[0] for row in NAME_MAPPING})
+    parts = A.load(spark, d, "part")
+    said = F.get(F.array(*map(F.lit, names)), (F.col("p_partkey") % 100).cast("int"))
+    rows = parts.select(said.alias("technology_name"), "p_size").where("technology_name IS NOT NULL")
+    spine = technology_spine(mapping_seed(spark))
+    mapped = join_spine(rows, spine, "technology_name")
+    known = technologies(spine).select("technology_name", "technology_id")
+    return (
+        mapped.join(known, "technology_name")
+        .groupBy("technology_name", "technology_category", "technology_subcategory", "technology_id")
+        .agg(F.count(F.lit(1)).alias("parts"), F.sum("p_size").cast("long").alias("total_size"))
+    )
+
+
+@query(
+    "pay_join_bucketed",
+    """select p.survey_year, t.technology_name, count(*) as people,
+              cast(sum(compensation_total) as bigint) as total_pay
+       from paid p join tech_a t on p.response_id = t.response_id and p.survey_year = t.survey_year
+            and t.is_currently_used group by 1, 2""",
+)
+def _(spark, d):
+    """Surveys and their consolidated technologies as tables in equal buckets of the natural key:
+    respondents meet their technologies without a shuffle."""
+    orders = cut_lineage(A.order_sets(spark, d))
+    surveys = A.staged_a(spark, d, profile=True, orders=orders)
+    technologies = unpivot_survey_a(A.staged_a(spark, d, orders=orders), A.NATURAL_KEY)
+    paid = scratch_table(filter_valid_salary(surveys), A.NATURAL_KEY, 16)
+    used = scratch_table(filter_used(technologies), A.NATURAL_KEY, 16)
+    joined = join_respondent(paid, used, A.NATURAL_KEY)
+    return joined.groupBy("survey_year", "technology_name").agg(
+        F.count(F.lit(1)).alias("people"), F.sum("compensation_total").cast("long").alias("total_pay")
+    )
