@@ -52,7 +52,7 @@ def test_finds_what_aligning_everything_finds(spark, frame, monkeypatch):
         for i, w in items.items()
         if table(w, decontaminate.clean_words(d.text.encode())) >= 0.5 * 2 * len(w)
     }
-    for most in (1_000_000, 60):  # one block, and several
+    for most in (200_000, 60):  # sent, and joined
         monkeypatch.setattr(decontaminate, "SENT_WORDS", most)
         assert {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()} == want
     assert len(want) >= 80
@@ -71,7 +71,7 @@ def test_odd_rows(spark, odd):
     assert contaminated(odd, bench.limit(0)).count() == 0 and contaminated(odd.limit(0), bench).count() == 0
 
 
-def test_edits_all_along_an_item(spark, frame):
+def test_edits_all_along_an_item(spark, frame, monkeypatch):
     """Copies with every fifth or sixth word changed, the item's other words in other documents."""
     rng = random.Random(9)
     items = [[f"w{rng.randrange(400)}" for _ in range(42)] for _ in range(6)]
@@ -84,5 +84,40 @@ def test_edits_all_along_an_item(spark, frame):
         docs.append((10 * i, " ".join(item)))
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     want = {(d, i) for d, t in docs for i, w in enumerate(items) if table(w, t.split()) >= 0.5 * 2 * len(w)}
-    assert {(r.doc_id, r.item_id) for r in contaminated(frame(docs), bench).collect()} == want
+    for most in (200_000, 0):
+        monkeypatch.setattr(decontaminate, "SENT_WORDS", most)
+        assert {(r.doc_id, r.item_id) for r in contaminated(frame(docs), bench).collect()} == want
     assert want >= {(10 * i + at, i) for i in range(6) for at in (0, 5, 6)}
+
+
+def under_a_common_phrase(count):
+    """Items that share three words and differ in all others."""
+    return [{"item_id": i, "words": [b"what", b"is", b"the"] + [b"a%d_%d" % (i, k) for k in range(9)]} for i in range(count)]
+
+
+def test_a_phrase_of_many_items_makes_no_pairs():
+    """Thousands of items under one trigram seed what their other words make of it."""
+    for count in (500, 8000):
+        items = decontaminate.Items(under_a_common_phrase(count))
+        held = {int(g): 1 for _, _, own in items.grams() for g in own}
+        seeds = items.seeds(held, 10)
+        assert max(len(places) for by_gram in seeds.values() for places in by_gram.values()) == 1
+        assert all((i, 0) in seeds[4][int(decontaminate.grams(items.ids[i], 4)[0])] for i in range(0, count, 99))
+
+
+def test_common_phrases_of_the_corpus(spark, frame, monkeypatch):
+    """Trigrams that many documents hold count with the words behind them; copies are found in both
+    ways, and a text of the common phrase alone is not one."""
+    monkeypatch.setattr(decontaminate, "FEW", 3)
+    rng = random.Random(3)
+    item = "once upon a time there was " + " ".join(f"w{i}" for i in range(14))
+    docs = [(i, "once upon a time " + " ".join(f"x{rng.randrange(999)}" for _ in range(30))) for i in range(40)]
+    docs += [(100 + i, f"x{i} {item} y{i}") for i in range(3)] + [(200, item.replace("w3", "other"))]
+    bench = spark.createDataFrame([(1, item), (2, "upon a time")], "item_id long, text string")
+    for most in (200_000, 0):
+        monkeypatch.setattr(decontaminate, "SENT_WORDS", most)
+        found = {(r.doc_id, r.item_id) for r in contaminated(frame(docs), bench).collect()}
+        assert {(100, 1), (101, 1), (102, 1), (200, 1)} <= found
+        assert {d for d, i in found if i == 1} == {100, 101, 102, 200}
+        # an item of three words is what all these documents hold
+        assert {d for d, i in found if i == 2} == {d for d, _ in docs}
