@@ -31,10 +31,13 @@ TOP = 16_384
 KNOWN = 262_144
 CLASSES = 512
 FOLDS = 10
-# documents that training starts from, its rounds there, and rounds over the whole corpus
-SAMPLE = 600
+# documents that training starts from, the most tokens that one of these has (longer ones count
+# from the first round over the corpus on), and the rounds there
+SAMPLE, SAMPLE_TOKENS = 600, 10_000
 SAMPLE_ROUNDS = 15
-ROUNDS = 2
+# rounds over the whole corpus: until one gains less than this, in log10 a token; at least and at most
+SETTLED = 0.002
+ROUNDS = (2, 4)
 # words of a document that one training sequence holds
 SEGMENT = 256
 # weight, in tokens, of the corpus-wide shares in a state's own
@@ -193,9 +196,16 @@ def segments(ids: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def expected_counts(parts: list[np.ndarray], model: Model) -> Model:
-    """Forward and backward over sequences side by side: expected counts, in a model's shape."""
+    """Expected counts over sequences, in a model's shape."""
+    return expectations(parts, model)[0]
+
+
+def expectations(parts: list[np.ndarray], model: Model) -> tuple[Model, float]:
+    """Forward and backward over sequences side by side: expected counts, and log10 of the
+    sequences' probability."""
     k, symbols = len(model.first), len(model.emit)
     first, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((symbols, k))
+    likely = 0.0
     parts = sorted(parts, key=len, reverse=True)
     for start in range(0, len(parts), 512):
         group = parts[start : start + 512]
@@ -215,6 +225,7 @@ def expected_counts(parts: list[np.ndarray], model: Model) -> Model:
             s = a.sum(axis=1, keepdims=True)
             a = a / s
             forward[t, :n], scale[t, :n] = a, s
+        likely += float(np.log10(scale).sum())
         backward = np.ones_like(seen)
         for t in range(longest - 2, -1, -1):
             n = live[t + 1]
@@ -227,7 +238,7 @@ def expected_counts(parts: list[np.ndarray], model: Model) -> Model:
         flat, weight = ids[alive], held[alive]
         for j in range(k):
             emit[:, j] += np.bincount(flat, weight[:, j], symbols)
-    return Model(first, move * model.move, emit)
+    return Model(first, move * model.move, emit), likely
 
 
 def from_counts(counts: Model, shares: np.ndarray) -> Model:
@@ -272,22 +283,24 @@ def from_sample(sample: list[np.ndarray], v: Vocabulary, states: int = STATES) -
     return model
 
 
-def corpus_round(training: DataFrame, model: Model, shares: np.ndarray) -> Model:
-    """One round of Baum-Welch over all of `training` (ids).  A task's counts come as a row per
-    symbol and, after the symbols, per state (moves) and one for the first states."""
+def corpus_round(training: DataFrame, model: Model, shares: np.ndarray) -> tuple[Model, float]:
+    """One round of Baum-Welch over all of `training` (ids): the next model, and log10 of the
+    probability that `model` gives a token.  A task's counts come as a row per symbol and, after
+    the symbols, per state (moves), one for the first states, and one for likelihood and tokens."""
     k, symbols = len(model.first), len(model.emit)
     sent = training.sparkSession.sparkContext.broadcast(model)
     names = [f"s{j}" for j in range(k)]
     schema = pa.schema([("row", pa.int64()), *((n, pa.float64()) for n in names)])
 
     def run(batches):
-        total = np.zeros((symbols + k + 1, k))
+        total = np.zeros((symbols + k + 2, k))
         for b in pieces(batches, 2048):
             column = b["ids"]
             flat, at = column.values.to_numpy(), column.offsets.to_numpy()
             ids = [flat[s:e] for s, e in zip(at, at[1:], strict=False)]
-            got = expected_counts(segments(ids), sent.value)
-            total += np.vstack([got.emit, got.move, got.first])
+            got, likely = expectations(segments(ids), sent.value)
+            total[:-1] += np.vstack([got.emit, got.move, got.first])
+            total[-1, :2] += likely, sum(map(len, ids))
         rows = np.flatnonzero(total.any(axis=1))
         columns = {n: pa.array(total[rows, j]) for j, n in enumerate(names)}
         yield batch(schema, {"row": pa.array(rows)} | columns)
@@ -295,9 +308,11 @@ def corpus_round(training: DataFrame, model: Model, shares: np.ndarray) -> Model
     ddl = "row long, " + ", ".join(f"{n} double" for n in names)
     summed = training.select("ids").mapInArrow(run, ddl).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
     found = summed.toPandas()
-    total = np.zeros((symbols + k + 1, k))
+    total = np.zeros((symbols + k + 2, k))
     total[found["row"].to_numpy(dtype=np.int64)] = found[names].to_numpy()
-    return from_counts(Model(total[-1], total[symbols:-1], total[:symbols]), shares)
+    likely, tokens = total[-1, :2]
+    new = Model(total[-2], total[symbols:-2], total[:symbols])
+    return from_counts(new, shares), float(likely / max(1.0, tokens))
 
 
 def forward(ids: list[np.ndarray], model: Model) -> np.ndarray:
@@ -365,9 +380,14 @@ def learn_and_score(
     encoded = stored(encode(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()))
     learning = encoded.where("not held_out").select("ids", "row")
     # the rows are chosen by their numbers alone, so that no task gathers texts to choose from
-    some = learning.select("row").orderBy(F.xxhash64("row"), "row").limit(SAMPLE)
+    short = encoded.where(~F.col("held_out") & (F.col("n_tokens") <= SAMPLE_TOKENS))
+    some = short.select("row").orderBy(F.xxhash64("row"), "row").limit(SAMPLE)
     some = learning.join(F.broadcast(some), "row").toArrow().sort_by("row")["ids"]
     model = from_sample([x.values.to_numpy() for x in some], vocabulary)
-    for _ in range(ROUNDS):
-        model = corpus_round(learning, model, corpus_shares(vocabulary))
+    before = -np.inf
+    for done in range(ROUNDS[1]):
+        new, likely = corpus_round(learning, model, corpus_shares(vocabulary))
+        if done >= ROUNDS[0] and likely - before < SETTLED:
+            break
+        model, before = new, likely
     return score(encoded, counts, vocabulary, model)

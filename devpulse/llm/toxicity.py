@@ -144,10 +144,10 @@ def weight_of(word: str, judge: Judge) -> tuple[str, float] | None:
     return best
 
 
-def hidden_inside(joined: str, judge: Judge) -> tuple[str, float] | None:
-    """The most telling whole word inside letters that stood apart."""
+def hidden_inside(joined: str, judge: Judge, longest: int) -> tuple[str, float] | None:
+    """The most telling whole word inside letters that stood apart; none has more than `longest`."""
     word = restore(joined, judge.speller)
-    inside = (word[s:e] for s in range(len(word)) for e in range(s + WHOLE, min(len(word), s + 24) + 1))
+    inside = (word[s:e] for s in range(len(word)) for e in range(s + WHOLE, min(len(word), s + longest) + 1))
     return max(((w, judge.weights[w]) for w in inside if w in judge.weights), key=lambda x: x[1], default=None)
 
 
@@ -156,6 +156,7 @@ class Reader:
 
     def __init__(self, judge: Judge):
         self.judge = judge
+        self.longest = max(map(len, judge.weights), default=0)
         # words as bytes, joined pieces as text
         self.seen: dict[bytes | str, tuple[str, float] | None] = {}
 
@@ -173,7 +174,7 @@ class Reader:
         for joined in spelled_apart(found):
             joined = joined.lower()
             if joined not in seen:
-                seen[joined] = hidden_inside(joined, self.judge)
+                seen[joined] = hidden_inside(joined, self.judge, self.longest)
             if seen[joined]:
                 out[seen[joined][0]] = seen[joined][1]
         return out
