@@ -6,12 +6,12 @@ give band keys, and nodes that share a key are candidates.  The bits that two pa
 have in common, less what chance would give, estimate their similarity; what the estimate leaves
 is confirmed on the full sets.
 
-Candidates are never listed as all pairs of a group.  Each node of a group first meets the group's
-smallest; groups that this leaves in several components are walked in one task, which answers with
-a link for each component it can reach, and only what even these leave apart is listed pair by
-pair.  A parity sketch of each set, whose differing bits are never more than the elements that two
-sets do not share, rules out nearly all pairs below the threshold before a text moves.  Groups of
-more than `GROUP` nodes are indexed again under longer runs of minima, and at last in blocks.
+Candidates are never listed as all pairs of a group.  Groups of equal members are one.  A group is
+walked in one task, which answers with a link for each node it can reach; where a link is not
+confirmed and leaves a group in several components, only pairs between these are listed.  A parity
+sketch of each set, whose differing bits are never more than the elements that two sets do not
+share, rules out nearly all pairs below the threshold before a text moves.  Groups of more than
+`GROUP` nodes are indexed again under longer runs of minima, and at last in blocks.
 
 Two documents at the threshold itself share no band key with a probability of about 3e-6 and are
 estimated below `LEAST` with less than 1e-6; nothing else is left to chance."""
@@ -258,21 +258,15 @@ def sent(df: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """(key, node, hub) of the nodes whose key another node has, `hub` the smallest of them."""
+    """(key, node, n) of the nodes whose key others have, n nodes in all.  Of keys that the same
+    nodes share one is kept."""
     indexed = rows.where("node is not null").select(F.explode("keys").alias("key"), "node")
-    counted = indexed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-    several = stored(counted.where("hub <> last").select("key", "hub"))
-    return stored(indexed.join(sent(several), "key").select("key", "node", "hub").distinct())
-
-
-def allowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes, signatures and sketches allow a link."""
-
-    def side(c):
-        return nodes.select(F.col("node").alias(c), F.struct("node", F.col("node").alias("root"), "size", "bits", "odd").alias(f"of_{c}"))
-
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return grouped_links(both.select(F.array("of_a", "of_b").alias("members")), Group.every)
+    counted = indexed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    several = stored(counted.where("a <> b").select("key"))
+    members = stored(indexed.join(sent(several), "key").distinct())
+    same = [F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.bit_xor(F.xxhash64("node")).alias("x")]
+    kept = members.groupBy("key").agg(*same).groupBy("n", "a", "b", "x").agg(F.min("key").alias("key"))
+    return stored(members.join(sent(stored(kept.select("key", "n"))), "key"))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -307,64 +301,68 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(both.mapInArrow(run, "a long, b long"))
 
 
-def contested(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root, n) of the groups whose nodes, `n` of them, are in several components."""
-    found = members.select("key", "node").join(roots, "node", "left")
-    found = found.select("key", "node", F.coalesce("root", "node").alias("root"))
-    groups = found.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y"))
-    groups = stored(groups.where("x <> y").select("key", "n"))
-    return stored(found.join(sent(groups), "key"))
-
-
-def in_blocks(apart: DataFrame) -> DataFrame:
+def in_blocks(groups: DataFrame) -> DataFrame:
     """Large groups as groups of two blocks each, every two of them."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = apart.withColumn("g", F.pmod(F.xxhash64("node"), blocks)).withColumn(
+    placed = groups.withColumn("g", F.pmod(F.xxhash64("node"), blocks)).withColumn(
         "h", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
     key = F.xxhash64("key", F.least("g", "h"), F.greatest("g", "h"))
-    return placed.select(key.alias("key"), "node", "root")
-
-
-def resolved(members: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, last: bool):
-    """(links, rest): the links that connect all that similar nodes of each group are connected
-    by, and the nodes of groups too large to tell, None if there are none."""
-    tested = stored(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
-    links = stored(links.union(confirmed(stored(allowed(tested, nodes)), docs, nodes)))
-    for pick in (Group.spanning, Group.every):
-        roots = stored(connected_components(links))
-        apart = contested(members, roots)
-        rest = apart.where(F.col("n") > GROUP)
-        apart = apart.where(F.col("n") <= GROUP).select("key", "node", "root")
-        if last:
-            apart = apart.union(in_blocks(rest))
-        if apart.isEmpty():
-            break
-        entry = F.struct("node", "root", "size", "bits", "odd")
-        sides = nodes.select("node", "size", "bits", "odd")
-        groups = apart.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
-        pairs = stored(grouped_links(groups, pick).distinct().join(tested, ["a", "b"], "left_anti"))
-        tested = stored(tested.union(pairs))
-        links = stored(links.union(confirmed(pairs, docs, nodes)))
-    rest = None if last else rest.select("node").distinct()
-    return links, rest if rest is not None and not rest.isEmpty() else None
-
-
-def similar_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes that connect all that similar nodes are connected by."""
-    links, members = None, shared_keys(rows)
-    some = sent(members.select("node").distinct())
-    first = F.min_by(F.struct("id", "text_key", "size", "bits", "odd"), F.struct("id", "text_key")).alias("first")
-    nodes = stored(rows.join(some, "node", "left_semi").groupBy("node").agg(first).select("node", "first.*"))
-    links = rows.sparkSession.createDataFrame([], "a long, b long")
+    return placed.select(key.alias("key"), "node")
+
+
+def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root); a node without links is its own root."""
+    found = members.select("key", "node").join(roots, "node", "left")
+    return found.select("key", "node", F.coalesce("root", "node").alias("root"))
+
+
+def contested(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root) of the groups whose nodes are in several components."""
+    found = rooted(members, roots)
+    groups = found.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    return found.join(sent(stored(groups.where("x <> y").select("key"))), "key")
+
+
+def picked(groups: DataFrame, nodes: DataFrame, pick: Callable[[Group], Iterator[tuple[int, int]]]) -> DataFrame:
+    """Links (a, b) that `pick` finds in groups (key, node, root)."""
+    entry = F.struct("node", "root", "size", "bits", "odd")
+    sides = nodes.select("node", "size", "bits", "odd")
+    gathered = groups.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
+    return grouped_links(gathered, pick).distinct()
+
+
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of all that former roots and new links connect."""
+    former = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return stored(connected_components(former.union(links)))
+
+
+def similar_roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, root) of the nodes that links to similar nodes connect."""
+    spark = rows.sparkSession
+    members, nodes = shared_keys(rows), None
+    roots = spark.createDataFrame([], "node long, root long")
     for tier in range(len(TIERS)):
-        last = tier + 1 == len(TIERS)
-        links, rest = resolved(members, links, docs, nodes, last)
-        if rest is None:
-            break
-        again = texts_of(docs, nodes.join(rest, "node", "left_semi"))
+        if nodes is None:
+            some = sent(members.select("node").distinct())
+            first = F.min_by(F.struct("id", "text_key", "size", "bits", "odd"), F.struct("id", "text_key")).alias("first")
+            nodes = stored(rows.join(some, "node", "left_semi").groupBy("node").agg(first).select("node", "first.*"))
+        small, large = members.where(F.col("n") <= GROUP), members.where(F.col("n") > GROUP)
+        if tier + 1 == len(TIERS):
+            small = small.select("key", "node").union(in_blocks(large))
+        tested = stored(picked(rooted(small, roots), nodes, Group.spanning))
+        roots = joined_roots(roots, confirmed(tested, docs, nodes))
+        # where not all of these links held, what lies between the components that are left
+        apart = picked(contested(small, roots), nodes, Group.every)
+        links = confirmed(stored(apart.join(tested, ["a", "b"], "left_anti")), docs, nodes)
+        if not links.isEmpty():
+            roots = joined_roots(roots, links)
+        if tier + 1 == len(TIERS) or large.isEmpty():
+            return roots
+        again = texts_of(docs, nodes.join(large.select("node").distinct(), "node", "left_semi"))
         members = shared_keys(stored(signed(again, tier + 1).select("node", "keys")))
-    return links
+    return roots
 
 
 @in_scope
@@ -377,7 +375,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     null and the row is kept.  Repeated rows each get a row.  A long text is one set like any
     other; an empty table gives no rows."""
     rows = stored(signed(docs))
-    roots = connected_components(similar_links(rows, docs))
+    roots = similar_roots(rows, docs)
     thin = rows.select("id", "node", "size")
     firsts = thin.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     grouped = stored(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
