@@ -1,10 +1,23 @@
 import random
 import zlib
+from itertools import groupby, product
 
 import numpy as np
 import pytest
 
-from devpulse.llm.toxicity import Reader, learn, make_speller, restore, scored, shares, without_toxic
+from devpulse.llm.toxicity import (
+    Reader,
+    code,
+    features,
+    learn,
+    make_speller,
+    options,
+    plain,
+    restore,
+    scored,
+    shares,
+    without_toxic,
+)
 
 BAD = ["idiot", "moron", "stupid", "loser"]
 GOOD = [a + b for a in ("ka", "mo", "ri", "su", "te", "lo") for b in ("na", "ver", "dil", "st", "rum", "pa", "cle")]
@@ -81,3 +94,33 @@ def test_more_disguises_are_found(frame, texts, labels, written):
     reader = Reader(learn(frame([(i, t) for i, t, _ in texts]), labels))
     assert reader.score(written.encode()) > 0.7
     assert reader.score(b"it is as we do in my book of tall letters") < 0.3
+
+
+def all_readings(word, speller):
+    """Every path through the lattice of a word, with its score."""
+    runs = [options(c, len(list(run))) for c, run in groupby(word)]
+    for path in product(*runs):
+        text = "".join(meant for meant, _ in path)
+        symbols = [0, 0, *map(code, text), 0]
+        score = sum(cost for _, cost in path)
+        score += sum(speller.logs[a, b, c] for a, b, c in zip(symbols, symbols[1:], symbols[2:], strict=False))
+        yield score, text
+
+
+def test_every_spelling_of_a_short_word(frame, texts, labels):
+    """Replaced, doubled and separated letters in all combinations: the decoder's reading is the
+    best of all readings, and a document is scored by what all readings of its words give."""
+    judge = learn(frame([(i, t) for i, t, _ in texts]), labels)
+    forms = [{"i": ["i", "1", "!", "ii"], "d": ["d", "d."], "o": ["o", "0", "*"], "t": ["t", "7", "tt"]}[c] for c in "idiot"]
+    spellings = ["".join(x) for x in product(*forms)]
+    assert len(spellings) == 4 * 2 * 4 * 3 * 3
+    reader = Reader(judge)
+    for written in spellings:
+        readings = list(all_readings(written, judge.speller))
+        best = max(score for score, _ in readings)
+        got = restore(written, judge.speller)
+        if written != "idiot":
+            assert any(text == got and abs(score - best) < 1e-9 for score, text in readings)
+        # the most telling feature of the word as it is and of its best reading
+        known = [judge.weights[f] for w in (plain(written), got) for f in features(w) if f in judge.weights]
+        assert max(reader.telling(f"the {written} kaver".encode()).values(), default=0.0) == max(known, default=0.0)
