@@ -23,6 +23,15 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+# rows of two or three numbers that are sent to all tasks instead of a shuffle, at most
+SENT = 1_000_000
+
+
+def sent(df: DataFrame) -> DataFrame:
+    """A stored table of keys, marked to be sent to all tasks if it has at most SENT rows."""
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

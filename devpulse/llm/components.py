@@ -3,13 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.llm.common import stored
+from devpulse.llm.common import sent, stored
 
 
 def nearest(edges: DataFrame) -> DataFrame:
     """The smallest of each node and its neighbours.  Stored, so that the join back reads a plain
-    table and adaptive execution can split hot nodes."""
-    return stored(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
+    table: one that is sent to all tasks if it is small, and else adaptive execution can split hot
+    nodes."""
+    return sent(stored(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -25,7 +26,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select("b", "a"))
         large = both.join(nearest(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct())
+        # edges that are there twice do no harm until the round ends
+        large = stored(large.where("a <> b"))
         joined = large.join(nearest(large), "a")
         small = joined.select("a", F.col("m").alias("b")).union(joined.select("b", "m"))
         now = stored(small.where("a <> b").distinct())

@@ -7,8 +7,9 @@ have in common, less what chance would give, estimate their similarity; what the
 is confirmed on the full sets.
 
 Candidates are never listed as all pairs of a group.  Groups of equal members are one.  A group is
-walked in one task, which answers with a link for each node it can reach; where a link is not
-confirmed and leaves a group in several components, only pairs between these are listed.  A parity
+walked in one task, which answers with a link for each node it can reach; a group of which a link
+is not confirmed is looked at once more, and only pairs between the parts that its other links
+leave are listed.  A parity
 sketch of each set, whose differing bits are never more than the elements that two sets do not
 share, rules out nearly all pairs below the threshold before a text moves.  Groups of more than
 `GROUP` nodes are indexed again under longer runs of minima, and at last in blocks.
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from devpulse.llm.common import batch, pieces, stored, text_column, utf8, words
+from devpulse.llm.common import batch, pieces, sent, stored, text_column, utf8, words
 from devpulse.llm.components import connected_components
 from devpulse.sources.sinks import in_scope
 
@@ -38,8 +39,6 @@ TIERS = ((8, 48), (16, 256))
 GROUP = 2048
 # nodes of a block of a group that is large even under the longest runs
 BLOCK = 1024
-# keys or nodes (16 bytes each) up to this many are sent to all tasks instead of a shuffle
-SENT = 1_000_000
 # bits of a parity sketch: twice the set's size at least, within these
 PARITY = (1 << 8, 1 << 15)
 
@@ -176,6 +175,15 @@ class Group:
                         todo += new.tolist()
                         left = left[kind[left] != kind[j]]
 
+    def join(self, links: list[dict]) -> None:
+        """Nodes that links connect get one root."""
+        at = {n: i for i, n in enumerate(self.node.tolist())}
+        self.root = np.arange(len(at))
+        for x in links:
+            one, two = self.root[at[x["a"]]], self.root[at[x["b"]]]
+            if one != two:
+                self.root[self.root == two] = one
+
     def every(self) -> Iterator[tuple[int, int]]:
         """All links that may be there between components."""
         _, kind = np.unique(self.root, return_inverse=True)
@@ -188,17 +196,21 @@ class Group:
 
 
 def grouped_links(groups: DataFrame, pick: Callable[[Group], Iterator[tuple[int, int]]]) -> DataFrame:
-    """(a, b) of the links that `pick` finds in each row's `members`."""
+    """(a, b) of the links that `pick` finds in each row's `members`, whose `links` (if there are
+    any) say what is connected already."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for b in pieces(batches, 16):
+            links = b["links"].to_pylist() if "links" in b.schema.names else None
             starts, flat = b["members"].offsets.to_pylist(), b["members"].values
             node, root, size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "size"))
             bits, odd = flat.field("bits"), flat.field("odd")
-            for s, e in zip(starts, starts[1:], strict=False):
+            for k, (s, e) in enumerate(zip(starts, starts[1:], strict=False)):
                 own = [x.slice(s, e - s).to_pylist() for x in (bits, odd)]
                 group = Group(node[s:e], root[s:e], size[s:e], *own)
+                if links is not None:
+                    group.join(links[k] or [])
                 found: list[tuple[int, int]] = []
                 for i, j in pick(group):
                     found.append((int(group.node[i]), int(group.node[j])))
@@ -208,7 +220,7 @@ def grouped_links(groups: DataFrame, pick: Callable[[Group], Iterator[tuple[int,
                 if found:
                     yield links_of(schema, found)
 
-    return groups.select("members").mapInArrow(run, "a long, b long")
+    return groups.drop("key").mapInArrow(run, "a long, b long")
 
 
 def links_of(schema: pa.Schema, found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -252,11 +264,6 @@ def signed(docs: DataFrame, tier: int = 0) -> DataFrame:
     return docs.select(*row_keys(), text_column().alias("text")).mapInArrow(run, ddl)
 
 
-def sent(df: DataFrame) -> DataFrame:
-    """`df`, marked to be sent to all tasks if it has at most SENT rows."""
-    return F.broadcast(df) if df.count() <= SENT else df
-
-
 def shared_keys(rows: DataFrame) -> DataFrame:
     """(key, node, n) of the nodes whose key others have, n nodes in all.  Of keys that the same
     nodes share one is kept."""
@@ -272,14 +279,14 @@ def shared_keys(rows: DataFrame) -> DataFrame:
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, doc_id, text) of one document of each node."""
     rows = docs.select(*row_keys(), text_column().alias("text"))
-    found = rows.join(sent(nodes.select("node", "id", "text_key")), ["id", "text_key"])
+    found = rows.join(sent(stored(nodes.select("node", "id", "text_key"))), ["id", "text_key"])
     # rows that repeat an id and a text give the same, one of which is enough
     return found.select("node", F.col("id").alias("doc_id"), "text").dropDuplicates(["node"])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets share PERCENT of their union."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = sent(stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
     texts = stored(texts_of(docs, nodes.join(wanted, "node", "left_semi")))
     one, two = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -311,58 +318,53 @@ def in_blocks(groups: DataFrame) -> DataFrame:
     return placed.select(key.alias("key"), "node")
 
 
-def rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root); a node without links is its own root."""
-    found = members.select("key", "node").join(roots, "node", "left")
-    return found.select("key", "node", F.coalesce("root", "node").alias("root"))
-
-
-def contested(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root) of the groups whose nodes are in several components."""
-    found = rooted(members, roots)
-    groups = found.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    return found.join(sent(stored(groups.where("x <> y").select("key"))), "key")
+def gathered(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, members) of groups (key, node), with what it takes to compare them."""
+    entry = F.struct("node", F.col("node").alias("root"), "size", "bits", "odd")
+    sides = nodes.select("node", "size", "bits", "odd")
+    return groups.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
 
 
-def picked(groups: DataFrame, nodes: DataFrame, pick: Callable[[Group], Iterator[tuple[int, int]]]) -> DataFrame:
-    """Links (a, b) that `pick` finds in groups (key, node, root)."""
-    entry = F.struct("node", "root", "size", "bits", "odd")
-    sides = nodes.select("node", "size", "bits", "odd")
-    gathered = groups.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
-    return grouped_links(gathered, pick).distinct()
+def pairs_in(groups: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(key, a, b) of the pairs whose nodes share a group (key, node)."""
+    one, two = (groups.select("key", F.col("node").alias(c)) for c in "ab")
+    return one.join(pairs, "a").join(two, ["key", "b"]).select("key", "a", "b")
 
 
-def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root) of all that former roots and new links connect."""
-    former = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return stored(connected_components(former.union(links)))
+def similar_links(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all that similar nodes of the same group are connected by."""
+    walked = stored(grouped_links(gathered(members, nodes), Group.spanning).distinct())
+    links = confirmed(walked, docs, nodes)
+    failed = stored(walked.join(links, ["a", "b"], "left_anti"))
+    if failed.isEmpty():
+        return links
+    # what a link that isn't there has hidden, in the groups that it was found in
+    keys = sent(stored(pairs_in(members, sent(failed)).select("key").distinct()))
+    again = stored(members.join(keys, "key"))
+    held = pairs_in(again, sent(links)).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("links"))
+    between = grouped_links(gathered(again, nodes).join(held, "key", "left"), Group.every).distinct()
+    between = stored(between.join(sent(walked), ["a", "b"], "left_anti"))
+    return links if between.isEmpty() else links.union(confirmed(between, docs, nodes))
 
 
 def similar_roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, root) of the nodes that links to similar nodes connect."""
-    spark = rows.sparkSession
-    members, nodes = shared_keys(rows), None
-    roots = spark.createDataFrame([], "node long, root long")
+    members = shared_keys(rows)
+    some = sent(stored(members.select("node").distinct()))
+    first = F.min_by(F.struct("id", "text_key", "size", "bits", "odd"), F.struct("id", "text_key")).alias("first")
+    nodes = stored(rows.join(some, "node", "left_semi").groupBy("node").agg(first).select("node", "first.*"))
+    links = rows.sparkSession.createDataFrame([], "a long, b long")
     for tier in range(len(TIERS)):
-        if nodes is None:
-            some = sent(members.select("node").distinct())
-            first = F.min_by(F.struct("id", "text_key", "size", "bits", "odd"), F.struct("id", "text_key")).alias("first")
-            nodes = stored(rows.join(some, "node", "left_semi").groupBy("node").agg(first).select("node", "first.*"))
         small, large = members.where(F.col("n") <= GROUP), members.where(F.col("n") > GROUP)
+        small = small.select("key", "node")
         if tier + 1 == len(TIERS):
-            small = small.select("key", "node").union(in_blocks(large))
-        tested = stored(picked(rooted(small, roots), nodes, Group.spanning))
-        roots = joined_roots(roots, confirmed(tested, docs, nodes))
-        # where not all of these links held, what lies between the components that are left
-        apart = picked(contested(small, roots), nodes, Group.every)
-        links = confirmed(stored(apart.join(tested, ["a", "b"], "left_anti")), docs, nodes)
-        if not links.isEmpty():
-            roots = joined_roots(roots, links)
+            small = stored(small.union(in_blocks(large)))
+        links = links.union(similar_links(small, nodes, docs))
         if tier + 1 == len(TIERS) or large.isEmpty():
-            return roots
+            break
         again = texts_of(docs, nodes.join(large.select("node").distinct(), "node", "left_semi"))
         members = shared_keys(stored(signed(again, tier + 1).select("node", "keys")))
-    return roots
+    return connected_components(links)
 
 
 @in_scope
