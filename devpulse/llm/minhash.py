@@ -196,13 +196,13 @@ class Group:
 
 
 def grouped_links(groups: DataFrame, pick: Callable[[Group], Iterator[tuple[int, int]]]) -> DataFrame:
-    """(a, b) of the links that `pick` finds in each row's `members`, whose `links` (if there are
-    any) say what is connected already."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """(key, a, b) of the links that `pick` finds in each row's `members`, whose `links` (if there
+    are any) say what is connected already."""
 
     def run(batches):
         for b in pieces(batches, 16):
             links = b["links"].to_pylist() if "links" in b.schema.names else None
+            keys = b["key"].to_pylist()
             starts, flat = b["members"].offsets.to_pylist(), b["members"].values
             node, root, size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "size"))
             bits, odd = flat.field("bits"), flat.field("odd")
@@ -215,16 +215,19 @@ def grouped_links(groups: DataFrame, pick: Callable[[Group], Iterator[tuple[int,
                 for i, j in pick(group):
                     found.append((int(group.node[i]), int(group.node[j])))
                     if len(found) == 10_000:
-                        yield links_of(schema, found)
+                        yield links_of(found, keys[k])
                         found = []
                 if found:
-                    yield links_of(schema, found)
+                    yield links_of(found, keys[k])
 
-    return groups.drop("key").mapInArrow(run, "a long, b long")
+    return groups.mapInArrow(run, "key long, a long, b long")
 
 
-def links_of(schema: pa.Schema, found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return batch(schema, {"a": [min(x) for x in found], "b": [max(x) for x in found]})
+def links_of(found: list[tuple[int, int]], key: int | None = None) -> pa.RecordBatch:
+    columns = {"a": [min(x) for x in found], "b": [max(x) for x in found]}
+    if key is not None:
+        columns = {"key": [key] * len(found), **columns}
+    return batch(pa.schema([(c, pa.int64()) for c in columns]), columns)
 
 
 def row_keys() -> tuple:
@@ -289,7 +292,6 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     wanted = sent(stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
     texts = stored(texts_of(docs, nodes.join(wanted, "node", "left_semi")))
     one, two = (texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for b in pieces(batches, 64):
@@ -302,7 +304,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 both = len(np.intersect1d(sets, other, assume_unique=True))
                 if 100 * both >= PERCENT * (len(sets) + len(other) - both):
                     kept.append((x, y))
-            yield links_of(schema, kept)
+            yield links_of(kept)
 
     both = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
     return stored(both.mapInArrow(run, "a long, b long"))
@@ -325,25 +327,23 @@ def gathered(groups: DataFrame, nodes: DataFrame) -> DataFrame:
     return groups.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
 
 
-def pairs_in(groups: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(key, a, b) of the pairs whose nodes share a group (key, node)."""
-    one, two = (groups.select("key", F.col("node").alias(c)) for c in "ab")
-    return one.join(pairs, "a").join(two, ["key", "b"]).select("key", "a", "b")
-
-
 def similar_links(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that connect all that similar nodes of the same group are connected by."""
-    walked = stored(grouped_links(gathered(members, nodes), Group.spanning).distinct())
-    links = confirmed(walked, docs, nodes)
-    failed = stored(walked.join(links, ["a", "b"], "left_anti"))
-    if failed.isEmpty():
+    # a group's links are fewer than its nodes
+    walked = stored(grouped_links(gathered(members, nodes), Group.spanning))
+    pairs = stored(walked.select("a", "b").distinct())
+    links = confirmed(pairs, docs, nodes)
+    if links.count() == pairs.count():
         return links
     # what a link that isn't there has hidden, in the groups that it was found in
-    keys = sent(stored(pairs_in(members, sent(failed)).select("key").distinct()))
-    again = stored(members.join(keys, "key"))
-    held = pairs_in(again, sent(links)).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("links"))
-    between = grouped_links(gathered(again, nodes).join(held, "key", "left"), Group.every).distinct()
-    between = stored(between.join(sent(walked), ["a", "b"], "left_anti"))
+    there = sent(stored(links.withColumn("there", F.lit(True))))
+    told = walked.join(there, ["a", "b"], "left")
+    pair = F.when(F.col("there"), F.struct("a", "b"))
+    held = told.groupBy("key").agg(F.collect_list(pair).alias("links"), F.count_if(F.col("there").isNull()).alias("gone"))
+    held = stored(held.where("gone > 0").drop("gone"))
+    again = members.join(sent(held.select("key")), "key")
+    between = grouped_links(gathered(again, nodes).join(held, "key"), Group.every).select("a", "b").distinct()
+    between = stored(between.join(sent(pairs), ["a", "b"], "left_anti"))
     return links if between.isEmpty() else links.union(confirmed(between, docs, nodes))
 
 
