@@ -2,8 +2,8 @@
 
 A customer's year is a respondent of survey A, an order is a respondent of survey B, part
 brands are technologies, and shipped lines are activity.  Every line is a mention: of a brand
-that is used, wanted, or both.  A respondent's brands travel as a set of numbers, which partial
-aggregation reduces in each task; the list text is made after the shuffle.
+that is used, wanted, or both.  A respondent's brands travel as a set of numbers, one set an order;
+the list text is made after the shuffle.
 """
 
 from dataclasses import dataclass
@@ -26,6 +26,8 @@ CATEGORIES = ["language", "database", "platform", "web_framework"]
 SUBCATEGORIES = ["web", "systems", "data"]
 RAW_LISTS = ["language", "database", "platform", "webframe"]
 NATURAL_KEY = ("response_id", "survey_year")
+# orders of a task that groups by respondent, about
+TASK_ORDERS = 100_000
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -40,6 +42,14 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def respondent_parts(spark: SparkSession, folder: str) -> int:
+    """Partitions for grouping by respondent.  Sets of brands are small when shuffled and large when
+    exploded, so partitions as adaptive execution would merge them, by shuffled bytes, give tasks
+    that need more memory the more data there is; these have about as many orders at any size."""
+    needed = -(-load(spark, folder, "orders").count() // TASK_ORDERS)
+    return max(needed, spark.sparkContext.defaultParallelism)
+
+
 def brand_number() -> Column:
     return F.substr(F.col("p_brand"), F.lit(7)).cast("int")
 
@@ -143,6 +153,8 @@ def raw_survey_a(
     """Survey A in its raw shape: the orders (`order_sets`) of a customer and year together.
     `profile` adds the answers that come from the customer."""
     told = order_sets(spark, folder) if orders is None else orders
+    told = told.withColumn("response_id", F.col("o_custkey").cast("string"))
+    told = told.repartition(respondent_parts(spark, folder), *NATURAL_KEY)
     # an entry for the order itself, and one for each brand it names
     order = "named_struct('price', o_totalprice, 'priority', o_orderpriority, 'used', int(NULL), 'desired', int(NULL))"
     entries = [
@@ -151,8 +163,7 @@ def raw_survey_a(
         for held, used, desired in (("used", "b", "int(NULL)"), ("desired", "int(NULL)", "b"))
     ]
     rows = told.select(
-        F.col("o_custkey").cast("string").alias("response_id"),
-        "survey_year",
+        *NATURAL_KEY,
         F.expr(f"inline(concat(array({order}), {', '.join(entries)}))"),
     )
     people = rows.groupBy("response_id", "survey_year").agg(
@@ -442,7 +453,8 @@ def yearly_b(
     mapping: DataFrame | None = None,
     orders: DataFrame | None = None,
 ) -> DataFrame:
-    rows = technology_rows_b(staged_b(spark, folder, orders), NATURAL_KEY)
+    surveys = staged_b(spark, folder, orders).repartition(respondent_parts(spark, folder), *NATURAL_KEY)
+    rows = technology_rows_b(surveys, NATURAL_KEY)
     mapping = mapping or spine(spark)
     return adoption_b(rows, respondents_b(spark, folder), mapping, NATURAL_KEY)
 
