@@ -82,9 +82,9 @@ def _(spark, d):
        join tech_a using (response_id, survey_year)""",
 )
 def _(spark, d):
-    people = A.respondents_a(spark, d).groupBy(*A.NATURAL_KEY).agg(
-        F.count(F.lit(1)).alias("n_orders")
-    )
+    # both sides in the same partitions, of about as many orders at any size
+    people = A.respondents_a(spark, d).repartition(A.respondent_parts(spark, d), *A.NATURAL_KEY)
+    people = people.groupBy(*A.NATURAL_KEY).agg(F.count(F.lit(1)).alias("n_orders"))
     technologies = unpivot_survey_a(A.staged_a(spark, d), A.NATURAL_KEY)
     return J.join_respondent(people, technologies, A.NATURAL_KEY).select(
         "survey_year", "response_id", "n_orders", "technology_name", "is_currently_used"
