@@ -341,12 +341,15 @@ def _(spark, d):
 )
 def _(spark, d):
     """Surveys and their consolidated technologies as tables in equal buckets of the natural key:
-    respondents meet their technologies without a shuffle."""
+    respondents meet their technologies without a shuffle.  There are as many buckets as partitions
+    by that key, so each task writes one file of one bucket."""
+    buckets = A.respondent_parts(spark, d)
     orders = cut_lineage(A.order_sets(spark, d))
     surveys = A.staged_a(spark, d, profile=True, orders=orders)
     technologies = unpivot_survey_a(A.staged_a(spark, d, orders=orders), A.NATURAL_KEY)
-    paid = scratch_table(filter_valid_salary(surveys), A.NATURAL_KEY, 16)
-    used = scratch_table(filter_used(technologies), A.NATURAL_KEY, 16)
+    paid = filter_valid_salary(surveys).repartition(buckets, *A.NATURAL_KEY)
+    paid = scratch_table(paid, A.NATURAL_KEY, buckets)
+    used = scratch_table(filter_used(technologies), A.NATURAL_KEY, buckets)
     joined = join_respondent(paid, used, A.NATURAL_KEY)
     return joined.groupBy("survey_year", "technology_name").agg(
         F.count(F.lit(1)).alias("people"), F.sum("compensation_total").cast("long").alias("total_pay")
