@@ -8,8 +8,8 @@ is confirmed on the full sets.
 
 Candidates are never listed as all pairs of a group.  Groups of equal members are one.  A group is
 walked in one task, which answers with a link for each node it can reach; a group of which a link
-is not confirmed is looked at once more, and only pairs between the parts that its other links
-leave are listed.  A parity
+is not confirmed is walked once more with the full sets beside its nodes, from part to part of what
+the confirmed links leave, so that each link it answers with is there.  A parity
 sketch of each set, whose differing bits are never more than the elements that two sets do not
 share, rules out nearly all pairs below the threshold before a text moves.  Groups of more than
 `GROUP` nodes are indexed again under longer runs of minima, and at last in blocks.
@@ -17,12 +17,12 @@ share, rules out nearly all pairs below the threshold before a text moves.  Grou
 Two documents at the threshold itself share no band key with a probability of about 3e-6 and are
 estimated below `LEAST` with less than 1e-6; nothing else is left to chance."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devpulse.llm.common import batch, pieces, sent, stored, text_column, utf8, words
@@ -39,6 +39,8 @@ TIERS = ((8, 48), (16, 256))
 GROUP = 2048
 # nodes of a block of a group that is large even under the longest runs
 BLOCK = 1024
+# shingles of a group that is walked with full sets; more are walked in blocks
+SHINGLES = 1 << 20
 # bits of a parity sketch: twice the set's size at least, within these
 PARITY = (1 << 8, 1 << 15)
 
@@ -121,9 +123,16 @@ def estimate(matches: np.ndarray) -> np.ndarray:
 
 
 class Group:
-    """Nodes that share a key, side by side: their roots, set sizes, signatures and sketches."""
-
-    def __init__(self, node, root, size, bits: list[bytes], odd: list[bytes]):
+    """Nodes that share a key, side by side: their roots, set sizes, signatures and sketches, and
+    their full sets if they are to be compared by those too."""
+
+    def __init__(self, node, root, size, bits: list[bytes], odd: list[bytes], sets: list[bytes] | None = None):
+        self.sets = None
+        if sets is not None:
+            # shingles as numbers from 0, and where each node's begin
+            number = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)[1]
+            self.sets = np.split(number, np.cumsum([len(x) // 8 for x in sets])[:-1])
+            self.marked = np.zeros(len(number), bool)
         self.node, self.root, self.size = node, root, size.astype(np.int64)
         self.bits = np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), BITS, -1)
         self.wide = np.array([len(x) for x in odd])
@@ -156,7 +165,17 @@ class Group:
             own = self.sketches[shared][self.at[int(self.wide[i] > shared), i]]
             them = self.sketches[shared][self.at[int(width > shared), others[some]]]
             apart[some] = np.bitwise_count(them ^ own).sum(axis=1, dtype=np.int64)
-        return others[(100 + PERCENT) * apart <= most]
+        others = others[(100 + PERCENT) * apart <= most]
+        return others if self.sets is None or not len(others) else self.linked(i, others)
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of `others` whose full sets share PERCENT of the union with that of `i`."""
+        own, them = self.sets[i], [self.sets[j] for j in others.tolist()]
+        self.marked[own] = True
+        sizes = np.array([len(x) for x in them])
+        both = np.add.reduceat(self.marked[np.concatenate(them)], np.cumsum(sizes) - sizes, dtype=np.int64)
+        self.marked[own] = False
+        return others[100 * both >= PERCENT * (len(own) + sizes - both)]
 
     def spanning(self) -> Iterator[tuple[int, int]]:
         """A link for each further component that the walk from one component to others reaches."""
@@ -175,15 +194,6 @@ class Group:
                         todo += new.tolist()
                         left = left[kind[left] != kind[j]]
 
-    def join(self, links: list[dict]) -> None:
-        """Nodes that links connect get one root."""
-        at = {n: i for i, n in enumerate(self.node.tolist())}
-        self.root = np.arange(len(at))
-        for x in links:
-            one, two = self.root[at[x["a"]]], self.root[at[x["b"]]]
-            if one != two:
-                self.root[self.root == two] = one
-
     def every(self) -> Iterator[tuple[int, int]]:
         """All links that may be there between components."""
         _, kind = np.unique(self.root, return_inverse=True)
@@ -195,28 +205,19 @@ class Group:
                 yield i, j
 
 
-def grouped_links(groups: DataFrame, pick: Callable[[Group], Iterator[tuple[int, int]]]) -> DataFrame:
-    """(key, a, b) of the links that `pick` finds in each row's `members`, whose `links` (if there
-    are any) say what is connected already."""
+def grouped_links(groups: DataFrame) -> DataFrame:
+    """(key, a, b) of the links that the walk finds in each row's `members`."""
 
     def run(batches):
         for b in pieces(batches, 16):
-            links = b["links"].to_pylist() if "links" in b.schema.names else None
             keys = b["key"].to_pylist()
             starts, flat = b["members"].offsets.to_pylist(), b["members"].values
             node, root, size = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root", "size"))
-            bits, odd = flat.field("bits"), flat.field("odd")
+            held = [flat.field(c) for c in ("bits", "odd", "parts") if flat.type.get_field_index(c) >= 0]
             for k, (s, e) in enumerate(zip(starts, starts[1:], strict=False)):
-                own = [x.slice(s, e - s).to_pylist() for x in (bits, odd)]
-                group = Group(node[s:e], root[s:e], size[s:e], *own)
-                if links is not None:
-                    group.join(links[k] or [])
-                found: list[tuple[int, int]] = []
-                for i, j in pick(group):
-                    found.append((int(group.node[i]), int(group.node[j])))
-                    if len(found) == 10_000:
-                        yield links_of(found, keys[k])
-                        found = []
+                group = Group(node[s:e], root[s:e], size[s:e], *[x.slice(s, e - s).to_pylist() for x in held])
+                # fewer than its nodes
+                found = [(int(group.node[i]), int(group.node[j])) for i, j in group.spanning()]
                 if found:
                     yield links_of(found, keys[k])
 
@@ -310,9 +311,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(both.mapInArrow(run, "a long, b long"))
 
 
-def in_blocks(groups: DataFrame) -> DataFrame:
-    """Large groups as groups of two blocks each, every two of them."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+def in_blocks(groups: DataFrame, blocks: Column) -> DataFrame:
+    """Large groups as groups of two of their `blocks` each, every two of them."""
+    blocks = blocks.cast("int")
     placed = groups.withColumn("g", F.pmod(F.xxhash64("node"), blocks)).withColumn(
         "h", F.explode(F.sequence(F.lit(0), blocks - 1))
     )
@@ -321,30 +322,60 @@ def in_blocks(groups: DataFrame) -> DataFrame:
 
 
 def gathered(groups: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key, members) of groups (key, node), with what it takes to compare them."""
-    entry = F.struct("node", F.col("node").alias("root"), "size", "bits", "odd")
-    sides = nodes.select("node", "size", "bits", "odd")
+    """(key, members) of groups (key, node), with what `nodes` has to compare them."""
+    root = F.col("root" if "root" in nodes.columns else "node").alias("root")
+    held = ["size", "bits", "odd", *(c for c in ("parts",) if c in nodes.columns)]
+    sides = nodes.select("node", *(c for c in ("root",) if c in nodes.columns), *held)
+    entry = F.struct("node", root, *held)
     return groups.join(sides, "node").groupBy("key").agg(F.collect_list(entry).alias("members"))
 
 
+def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, parts): the full set of each node."""
+
+    def run(batches):
+        schema = pa.schema([("node", pa.int64()), ("parts", pa.binary())])
+        for b in pieces(batches, 64):
+            parts = [shingle_numbers(words(text)).tobytes() for text in utf8(b["text"])]
+            yield batch(schema, {"node": b["node"], "parts": parts})
+
+    return stored(texts_of(docs, nodes).select("node", "text").mapInArrow(run, "node long, parts binary"))
+
+
+def between(again: DataFrame, links: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b), there by the full sets, that connect what groups (key, node) hold of different
+    components of `links`."""
+    placed = again.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = stored(placed.join(nodes.select("node", "size"), "node"))
+    held = placed.groupBy("key").agg(
+        F.min("root").alias("first"), F.max("root").alias("last"), F.sum("size").alias("held"), F.count("*").alias("n")
+    )
+    open_ = stored(held.where("first <> last").select("key", "held", "n"))
+    if open_.isEmpty():
+        return links.limit(0)
+    some = placed.join(sent(open_), "key")
+    blocks = F.least(F.ceil(2 * F.col("held") / SHINGLES), F.col("n"))
+    heavy = F.col("held") > SHINGLES
+    groups = some.where(~heavy).select("key", "node").union(in_blocks(some.where(heavy), blocks))
+    known = stored(some.select("node", "root").distinct())
+    sides = nodes.join(known, "node")
+    sides = sides.join(sets_of(docs, nodes.join(known.select("node"), "node", "left_semi")), "node")
+    return stored(grouped_links(gathered(groups, sides)).select("a", "b").distinct())
+
+
 def similar_links(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that connect all that similar nodes of the same group are connected by."""
     # a group's links are fewer than its nodes
-    walked = stored(grouped_links(gathered(members, nodes), Group.spanning))
+    walked = stored(grouped_links(gathered(members, nodes)))
     pairs = stored(walked.select("a", "b").distinct())
     links = confirmed(pairs, docs, nodes)
     if links.count() == pairs.count():
         return links
     # what a link that isn't there has hidden, in the groups that it was found in
     there = sent(stored(links.withColumn("there", F.lit(True))))
-    told = walked.join(there, ["a", "b"], "left")
-    pair = F.when(F.col("there"), F.struct("a", "b"))
-    held = told.groupBy("key").agg(F.collect_list(pair).alias("links"), F.count_if(F.col("there").isNull()).alias("gone"))
-    held = stored(held.where("gone > 0").drop("gone"))
-    again = members.join(sent(held.select("key")), "key")
-    between = grouped_links(gathered(again, nodes).join(held, "key"), Group.every).select("a", "b").distinct()
-    between = stored(between.join(sent(pairs), ["a", "b"], "left_anti"))
-    return links if between.isEmpty() else links.union(confirmed(between, docs, nodes))
+    told = walked.join(there, ["a", "b"], "left").where("there is null")
+    gone = stored(told.select("key").distinct())
+    return links.union(between(members.join(sent(gone), "key"), links, nodes, docs))
 
 
 def similar_roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -358,7 +389,7 @@ def similar_roots(rows: DataFrame, docs: DataFrame) -> DataFrame:
         small, large = members.where(F.col("n") <= GROUP), members.where(F.col("n") > GROUP)
         small = small.select("key", "node")
         if tier + 1 == len(TIERS):
-            small = stored(small.union(in_blocks(large)))
+            small = stored(small.union(in_blocks(large, F.ceil(F.col("n") / BLOCK))))
         links = links.union(similar_links(small, nodes, docs))
         if tier + 1 == len(TIERS) or large.isEmpty():
             break

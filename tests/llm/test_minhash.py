@@ -141,3 +141,27 @@ def test_sketches_bound_what_is_not_shared():
 def test_shingles_are_distinct_and_lower_case():
     assert len(shingle_numbers(b"a b c d e a b c d e f".split())) == 6
     assert minhash.LEAST / minhash.HASHES > 0.75
+
+
+@pytest.mark.parametrize("most", [1 << 20, 300])
+def test_a_group_never_gives_more_links_than_it_has_nodes(frame, monkeypatch, most):
+    """Copies that differ in one word each: any two share 113 of 133 shingles, just too few, and
+    about half of all pairs look as if they shared enough.  Some are linked.  Also in blocks."""
+    monkeypatch.setattr(minhash, "SHINGLES", most, raising=False)
+    base = [f"w{i}" for i in range(127)]
+    texts = [[*base[:at], f"x{at}-{k}", *base[at + 1 :]] for at in range(4, 123, 5) for k in range(1 + (at % 20 == 4))]
+    docs = [(3 * i, " ".join(t)) for i, t in enumerate(texts)]
+    more, links = [], minhash.grouped_links
+
+    def note(groups, *args):
+        groups = minhash.stored(groups)
+        found = minhash.stored(links(groups, *args))
+        sizes = groups.selectExpr("key", "size(members) AS n").join(found.groupBy("key").count(), "key")
+        more.append(sizes.where("count >= n").count())
+        return found
+
+    monkeypatch.setattr(minhash, "grouped_links", note)
+    found = near_duplicates(frame(docs)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(slow_components(docs))
+    assert len({r.component_id for r in found}) == 24 < len(found)
+    assert len(more) > 1 and not any(more)
