@@ -13,8 +13,8 @@ These alone go into the lists.  (With `SHORTEST` symbols or more no bound takes
 spares the first gram or the last.)
 
 A list is merged under a longer key: one edit leaves one half of what lies around a common gram as
-it is, so the key has the gram, its place, and either half.  Lists are joined by key and what
-meets is verified."""
+it is, so the key has the gram, its place, and either half; one key is enough where a half is no
+more than a sentinel.  Lists are joined by key and what meets is verified."""
 
 import re
 import zlib
@@ -236,7 +236,9 @@ def keyed(fields: list[np.ndarray]) -> np.ndarray:
     return (total ^ (total >> np.uint64(32))).view(np.int64)
 
 
-def list_entries(dictionary: Dictionary, symbols: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def list_entries(
+    dictionary: Dictionary, symbols: np.ndarray, roles: tuple[int, ...] = (0, 1, 2)
+) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(role, row, key): 0 for meeting words of the same length, 1 as the shorter of two words,
     2 as the longer."""
     row, p, q, code = dictionary.chosen(symbols)
@@ -250,50 +252,55 @@ def list_entries(dictionary: Dictionary, symbols: np.ndarray) -> list[tuple[int,
         fields = [np.full(len(row), size), place, code, np.full(len(row), case), *parts]
         found.append((role, row[ok], keyed(fields)[ok]))
 
-    # the same length: half of what is around the gram
-    half = (left + right) // 2
-    before, after = np.minimum(half, left), np.maximum(half - left, 0)
-    every = np.ones(len(p), bool)
-    add(0, n, p, 0, every, (none, before), (end, end + after))
-    add(0, n, p, 1, every, (before, left), (end + after, none + n))
+    if 0 in roles:
+        # the same length: half of what is around the gram
+        half = (left + right) // 2
+        before, after = np.minimum(half, left), np.maximum(half - left, 0)
+        every = np.ones(len(p), bool)
+        add(0, n, p, 0, every, (none, before), (end, end + after))
+        add(0, n, p, 1, every, (before, left), (end + after, none + n))
     for role, more in ((1, 0), (2, 1)):
-        # of two lengths, cases by the side of the edit; `more` symbols are in the longer word alone
+        if role not in roles:
+            continue
+        # of two lengths, cases by the side of the edit; `more` symbols are in the longer word alone.
+        # of two symbols or one, a half is empty or the sentinel: the same in all words, and enough
         longer, whole = n + 1 - more, right - more
         half = np.maximum(whole, 0) // 2
-        ok = whole > 0
-        add(role, longer, p, 2, ok, (none, left), (end, end + half))
-        add(role, longer, p, 3, ok, (none, left), (np.minimum(n - whole + half, n), none + n))
+        add(role, longer, p, 2, whole > 2, (none, left), (end, end + half))
+        add(role, longer, p, 3, whole > 0, (none, left), (np.minimum(n - whole + half, n), none + n))
         whole = left - more
         half = np.maximum(whole, 0) // 2
-        ok = whole > 0
         place = p + 1 - more
-        add(role, longer, place, 4, ok, (none, half), (end, none + n))
-        add(role, longer, place, 5, ok, (np.maximum(left - whole + half, 0), left), (end, none + n))
+        add(role, longer, place, 4, whole > 0, (none, half), (end, none + n))
+        add(role, longer, place, 5, whole > 2, (np.maximum(left - whole + half, 0), left), (end, none + n))
     return found
 
 
 def near_pairs(words: DataFrame, dictionary: Dictionary) -> DataFrame:
     """(a, na, b, nb) of all words (word, n) that differ by one edit, both ways round."""
     sent = words.sparkSession.sparkContext.broadcast(dictionary)
-    schema = pa.schema([("key", pa.int64()), ("role", pa.int8()), ("word", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
+
+    # entries are many times the words, so each role's go from the words right into their shuffle
+    def entries(role: int) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                word, n = b["word"], b["n"]
+                for rows, symbols in matrices(word.to_pylist()):
+                    for _, row, key in list_entries(sent.value, symbols, (role,)):
+                        at = pa.array(rows[row])
+                        yield batch(schema, {"key": pa.array(key), "word": word.take(at), "n": n.take(at)})
+
+        return words.mapInArrow(run, "key long, word string, n long")
 
-    def run(batches):
-        for b in batches:
-            word, n = b["word"], b["n"]
-            for rows, symbols in matrices(word.to_pylist()):
-                for role, row, key in list_entries(sent.value, symbols):
-                    at = pa.array(rows[row])
-                    roles = pa.array(np.full(len(key), role, np.int8))
-                    yield batch(schema, {"key": pa.array(key), "role": roles, "word": word.take(at), "n": n.take(at)})
-
-    entries = stored(words.mapInArrow(run, "key long, role byte, word string, n long"))
     near = F.levenshtein("a", "b", 1) == 1
 
-    def side(role: int, name: str) -> DataFrame:
-        return entries.where(F.col("role") == role).select("key", F.col("word").alias(name), F.col("n").alias(f"n{name}"))
+    def side(found: DataFrame, name: str) -> DataFrame:
+        return found.select("key", F.col("word").alias(name), F.col("n").alias(f"n{name}"))
 
-    same = side(0, "a").join(side(0, "b"), "key").where((F.col("a") < F.col("b")) & near)
-    other = side(1, "a").join(side(2, "b"), "key").where(near)
+    alike = entries(0)
+    same = side(alike, "a").join(side(alike, "b"), "key").where((F.col("a") < F.col("b")) & near)
+    other = side(entries(1), "a").join(side(entries(2), "b"), "key").where(near)
     pairs = stored(same.union(other).select("a", "na", "b", "nb").distinct())
     return pairs.union(pairs.select("b", "nb", "a", "na"))
 

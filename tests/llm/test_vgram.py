@@ -141,3 +141,42 @@ def test_odd_rows(odd, frame):
 
 def test_runs_are_maximal_and_in_lower_case():
     assert vgram.runs("Ångström2ABCDEFGé×÷straße", 1, 7) == Counter({"Ångström".replace("A", "a"): 1, "abcdefgé×÷straße": 1})
+
+
+def test_list_entries_are_not_written(frame, texts, monkeypatch):
+    """They go from the words into one shuffle a role."""
+    written = []
+
+    def note(df):
+        written.append(set(df.columns))
+        return stored(df)
+
+    stored = vgram.stored
+    monkeypatch.setattr(vgram, "stored", note)
+    words = stored(vgram.words_of(frame(texts)))
+    pairs = vgram.near_pairs(words, Dictionary.learn(words))
+    assert pairs.count() > 0
+    assert written and not [columns for columns in written if "key" in columns]
+
+
+def test_one_key_where_a_half_is_a_sentinel():
+    """The last gram of a word has nothing but a sentinel or a letter and one to its right."""
+    words = sorted({"".join(x) for x in itertools.product(["tion", "ment", "ado"], repeat=3)})
+    extra = [w[:-1] for w in words] + [w[1:] for w in words] + [w[:-1] + "n" + w[-1] for w in words]
+    words = sorted({*words, *extra})
+    dictionary = learned(words, 20_000)
+    keys = {0: {}, 1: {}, 2: {}}
+    count = 0
+    for rows, symbols in vgram.matrices(words):
+        row, p, q, _ = dictionary.chosen(symbols)
+        n = symbols.shape[1]
+        for more in (0, 1):
+            for whole in (n - p - q - more, p - more):
+                count += int(np.minimum(np.maximum(whole, 0), 1).sum() + (whole > 2).sum())
+        for role, row, key in vgram.list_entries(dictionary, symbols):
+            for r, k in zip(row, key, strict=True):
+                keys[role].setdefault(words[rows[r]], []).append(k)
+    assert sum(len(k) for role in (1, 2) for k in keys[role].values()) == count
+    for a, b in itertools.permutations(words, 2):
+        if len(a) + 1 == len(b) and one_edit(a, b):
+            assert set(keys[1][a]) & set(keys[2][b])
